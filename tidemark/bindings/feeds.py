@@ -22,6 +22,11 @@ YEAR = 365 * DAY
 START = 788_832_000_000
 
 
+# Line numbers repeat within an order, so the part is added.
+def line_id() -> Column:
+    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -103,7 +108,7 @@ def _orders(spark, sf_dir):
 def _order_items(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem").withColumn("n", F.lit(0).cast("bigint"))
     return df, epoch_ms("l_shipdate"), F.col("l_orderkey") * 8 + F.col("l_linenumber"), {
-        "order_item_id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
+        "order_item_id": line_id(),
         "order_id": "l_orderkey",
         "book_id": "l_partkey",
         "quantity": F.col("l_quantity").cast("int"),
@@ -156,7 +161,7 @@ def _shipments(spark, sf_dir):
 def _shipment_events(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem").withColumn("n", F.lit(0).cast("bigint"))
     return df, epoch_ms("l_shipdate"), F.col("l_orderkey") * 8 + F.col("l_linenumber"), {
-        "event_id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
+        "event_id": line_id(),
         "shipment_id": "l_orderkey",
         "status": F.when(F.col("l_linestatus") == "F", "delivered").otherwise("in_transit"),
         "location": F.when(F.col("l_returnflag") != "N", text("HUB_%d", "l_suppkey")),

@@ -41,7 +41,7 @@ _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
             "lsn": "(o_orderkey * 4 + n)::BIGINT"}),
     "order_items": (
         "lineitem", "1", "epoch_ms(l_shipdate)", {
-            "order_item_id": "l_orderkey * 8 + l_linenumber", "order_id": "l_orderkey",
+            "order_item_id": "(l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey", "order_id": "l_orderkey",
             "book_id": "l_partkey", "quantity": "l_quantity::INT",
             "price_at_purchase": "floor(l_extendedprice / l_quantity)",
             "discount": "(l_discount + 0.0)::DECIMAL(10,2)::DOUBLE",
@@ -73,7 +73,7 @@ _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
             "lsn": "(o_orderkey * 4 + n)::BIGINT"}),
     "shipment_events": (
         "lineitem", "1", "epoch_ms(l_shipdate)", {
-            "event_id": "l_orderkey * 8 + l_linenumber", "shipment_id": "l_orderkey",
+            "event_id": "(l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey", "shipment_id": "l_orderkey",
             "status": "CASE WHEN l_linestatus = 'F' THEN 'delivered' ELSE 'in_transit' END",
             "location": "CASE WHEN l_returnflag <> 'N' THEN 'HUB_' || l_suppkey END",
             "lsn": "(l_orderkey * 8 + l_linenumber)::BIGINT"}),
@@ -225,20 +225,22 @@ def valid(fact: str, alias: str) -> str:
 
 
 F_ORDER_ITEMS = f"""
-SELECT {_ITEM_SK} AS "orderItemSk", o."orderSk", b."bookSk", c."customerSk",
+WITH with_order AS MATERIALIZED (
+  SELECT i.*, o."orderSk", o."customerId" FROM ({_ITEMS}) i
+  JOIN ({D_ORDERS}) o ON i.order_id = o."orderId" AND {valid('i', 'o')}),
+with_customer AS MATERIALIZED (
+  SELECT i.*, c."customerSk" FROM with_order i
+  JOIN ({D_CUSTOMERS}) c ON i."customerId" = c."customerId" AND {valid('i', 'c')})
+SELECT {_ITEM_SK} AS "orderItemSk", "orderSk", b."bookSk", "customerSk",
        order_item_id AS "orderItemId", quantity, price_at_purchase AS "priceAtPurchase",
        discount, ts_ms AS "transactionTime",
        round(quantity * price_at_purchase * (1 - discount), 4) AS "priceTotal"
-FROM ({_ITEMS}) i
-JOIN ({D_ORDERS}) o ON i.order_id = o."orderId" AND {valid('i', 'o')}
-JOIN ({D_CUSTOMERS}) c ON o."customerId" = c."customerId" AND {valid('i', 'c')}
-JOIN ({D_BOOKS}) b ON i.book_id = b."bookId" AND {valid('i', 'b')}"""
+FROM with_customer i JOIN ({D_BOOKS}) b ON i.book_id = b."bookId" AND {valid('i', 'b')}"""
 
 EVENTS_JOINED = latest_state_join(
-    feed("shipment_events"), "event_id, shipment_id", feed("shipments"), "shipment_id",
+    feed("shipment_events"), "event_id", feed("shipments"), "shipment_id",
     "c.event_id, c.shipment_id, c.status, c.location, p.order_id, p.service_id, "
     "p.shipping_status, p.actual_delivery_date")
-# Item numbers repeat in the table, so the last change of a number at one time counts.
 _SHIPMENTS_LATEST = f"""
 SELECT * FROM ({feed('shipments')})
 QUALIFY row_number() OVER (PARTITION BY shipment_id ORDER BY ts_ms DESC) = 1"""
@@ -249,14 +251,17 @@ SELECT e.shipment_id, e.event_id, e.status, e.location, e.ts_ms, s.order_id, s.s
        s.actual_delivery_date::VARCHAR AS actual_delivery_date, s.shipping_cost
 FROM ({feed('shipment_events')}) e JOIN ({_SHIPMENTS_LATEST}) s USING (shipment_id)"""
 F_SHIPMENT_EVENTS = f"""
+WITH latest AS MATERIALIZED ({EVENTS_LATEST}),
+with_order AS MATERIALIZED (
+  SELECT e.*, o."orderSk" FROM latest e
+  JOIN ({D_ORDERS}) o ON e.order_id = o."orderId" AND {valid('e', 'o')})
 SELECT md5(concat_ws('#', 'shipment_event', event_id, ts_ms)) AS "shipmentEventSk",
-       o."orderSk", v."carrierServiceSk", shipment_id AS "shipmentId",
+       "orderSk", v."carrierServiceSk", shipment_id AS "shipmentId",
        event_id AS "shipmentEventId", e.status, location,
        tracking_number AS "trackingNumber", shipping_status AS "shippingStatus",
        shipped_date AS "shippedDate", expected_delivery_date AS "expectedDeliveryDate",
        actual_delivery_date AS "actualDeliveryDate", shipping_cost AS "shippingCost"
-FROM ({EVENTS_LATEST}) e
-JOIN ({D_ORDERS}) o ON e.order_id = o."orderId" AND {valid('e', 'o')}
+FROM with_order e
 JOIN ({D_SERVICES}) v ON e.service_id = v."serviceId" AND {valid('e', 'v')}"""
 
 INSERT_IGNORE = f"""

@@ -81,7 +81,7 @@ def scd2_window_consolidated_events(spark, sf_dir):
 
 
 def scd2_current_events(spark, sf_dir):
-    return scd2.current(_event_versions(spark, sf_dir, keep_delete_row=False))
+    return scd2.current(_event_versions(spark, sf_dir, delete_rows="drop"))
 
 
 def scd2_noop_suppressed(spark, sf_dir):
@@ -99,24 +99,24 @@ def acceptance_window(spark, sf_dir):
         acceptance_window_end(F.col("ts_ms"), 100_000).alias("window_end"))
 
 
-def _d_orders(spark, sf_dir):
-    return dimensions.d_orders(feeds.landed(spark, sf_dir, "orders"))
+def _d_orders(spark, sf_dir, **options):
+    return dimensions.d_orders(feeds.landed(spark, sf_dir, "orders"), **options)
 
 
-def _d_customers(spark, sf_dir):
-    return dimensions.d_customers(feeds.landed(spark, sf_dir, "customers"))
+def _d_customers(spark, sf_dir, **options):
+    return dimensions.d_customers(feeds.landed(spark, sf_dir, "customers"), **options)
 
 
-def _d_books(spark, sf_dir):
+def _d_books(spark, sf_dir, **options):
     return dimensions.d_books(
         feeds.landed(spark, sf_dir, "books"), feeds.landed(spark, sf_dir, "authors"),
-        author_rows=row_bound(spark, sf_dir, "nation", 2))
+        author_rows=row_bound(spark, sf_dir, "nation", 2), **options)
 
 
-def _d_services(spark, sf_dir):
+def _d_services(spark, sf_dir, **options):
     return dimensions.d_carrier_services(
         feeds.landed(spark, sf_dir, "shipping_services"), feeds.landed(spark, sf_dir, "carriers"),
-        carrier_rows=row_bound(spark, sf_dir, "nation", 2))
+        carrier_rows=row_bound(spark, sf_dir, "nation", 2), **options)
 
 
 def dim_orders(spark, sf_dir):
@@ -193,12 +193,17 @@ def unmatched_items(spark, sf_dir):
         versions_from=_starts(spark, sf_dir, "orders", "order_id", "orderId"))
 
 
+DISJOINT = {"delete_rows": "closed"}
+
+
 def _f_order_items(spark, sf_dir):
     return facts.f_order_items(
-        feeds.landed(spark, sf_dir, "order_items"), _d_orders(spark, sf_dir),
-        _d_customers(spark, sf_dir), _d_books(spark, sf_dir),
+        feeds.landed(spark, sf_dir, "order_items"), _d_orders(spark, sf_dir, **DISJOINT),
+        _d_customers(spark, sf_dir, **DISJOINT), _d_books(spark, sf_dir, **DISJOINT),
+        disjoint=True,
         orders_feed=_starts(spark, sf_dir, "orders", "order_id", "orderId"),
         customers_feed=_starts(spark, sf_dir, "customers", "customer_id", "customerId"),
+        books_feed=_starts(spark, sf_dir, "books", "book_id", "bookId"),
         customer_rows=row_bound(spark, sf_dir, "customer", 2),
         # Each book version meets at most the two versions of its author.
         book_rows=row_bound(spark, sf_dir, "part", 3 * 2))
@@ -207,8 +212,10 @@ def _f_order_items(spark, sf_dir):
 def _f_shipment_events(spark, sf_dir):
     return facts.f_shipment_events(
         feeds.landed(spark, sf_dir, "shipment_events"), feeds.landed(spark, sf_dir, "shipments"),
-        _d_orders(spark, sf_dir), _d_services(spark, sf_dir),
+        _d_orders(spark, sf_dir, **DISJOINT), _d_services(spark, sf_dir, **DISJOINT),
+        disjoint=True,
         orders_feed=_starts(spark, sf_dir, "orders", "order_id", "orderId"),
+        services_feed=_starts(spark, sf_dir, "shipping_services", "service_id", "serviceId"),
         service_rows=row_bound(spark, sf_dir, "supplier", 2 * 2))
 
 

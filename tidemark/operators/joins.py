@@ -15,10 +15,20 @@ from pyspark.sql import functions as F
 from ..config import END_OF_TIME
 from ..functions.columns import valid_at
 from .scd2 import latest_per_instant, tie_columns
-from .skew import Cuts, find_cuts, stretch_number, with_neighbour, with_stretch
+from .skew import (
+    NO_CUTS,
+    Cuts,
+    estimated_bytes,
+    find_cuts,
+    stretch_number,
+    with_neighbour,
+    with_stretch,
+)
 
 # Versions of one key that a row may be compared with, on average.
 VERSIONS_PER_CUT = 4096
+# Product of estimated sizes (bytes) below which versions per key need no look.
+SMALL_PRODUCT = 10**14
 # A dimension is broadcast only when its caller proves it has no more rows.
 MAX_BROADCAST_ROWS = 500_000
 
@@ -28,6 +38,11 @@ def broadcast_within(df: DataFrame, rows: int | None, limit: int = MAX_BROADCAST
     return F.broadcast(df) if rows is not None and rows <= limit else df
 
 
+def _is_small(left: DataFrame, right: DataFrame) -> bool:
+    """Whether even all pairs of the two sides would be few."""
+    return estimated_bytes(left) * estimated_bytes(right) < SMALL_PRODUCT
+
+
 def point_in_time_join(
     facts: DataFrame,
     dimension: DataFrame,
@@ -35,8 +50,8 @@ def point_in_time_join(
     ts: str,
     *,
     inclusive_end: bool = False,
+    disjoint: bool = False,
     versions_from: DataFrame | None = None,
-    version_start: str = "validFrom",
     dimension_rows: int | None = None,
     rows_per_cut: int = VERSIONS_PER_CUT,
     how: str = "inner",
@@ -45,29 +60,41 @@ def point_in_time_join(
 
     ``on`` names the key in the facts and in the dimension, which must be
     consolidated. A version gives way to the next version of its key, so a
-    delete row that was never closed cannot match beside its successor. Facts without a valid version are left out (``how="inner"``),
-    kept with NULLs (``"left"``) or returned alone (``"left_anti"``).
-    ``versions_from``, with columns ``on[1]`` and ``version_start``, may name a
-    cheaper frame with the same version starts. ``dimension_rows`` is a proven upper
+    delete row that was never closed cannot match beside its successor; pass
+    ``disjoint=True`` where the versions are known not to overlap. Facts
+    without a valid version are left out (``how="inner"``), kept with NULLs
+    (``"left"``) or returned alone (``"left_anti"``).
+
+    ``versions_from``, with columns ``on[1]`` and ``validFrom``, may name a cheaper
+    frame with about the same version starts. ``dimension_rows`` is a proven upper
     bound of the dimension's rows; without it Spark chooses the strategy.
     """
     fact_key, dim_key = on
-    starts = (dimension if versions_from is None else versions_from).select(
-        F.col(dim_key), F.col(version_start).alias("validFrom"))
-    cuts = find_cuts(starts, [dim_key], "validFrom", rows_per_cut=rows_per_cut)
-    # Partitioned and sorted as a merge join of the key needs it: no extra shuffle there.
-    right = with_neighbour(dimension, [dim_key], "validFrom", tie=["validTo"], cuts=cuts)
-    right = right.withColumn("validTo", F.least("validTo", F.col("next_validFrom") - 1))
-    right = right.drop("next_validFrom").withColumnsRenamed(
+    starts = dimension if versions_from is None else versions_from
+    starts = starts.select(dim_key, "validFrom")
+    right = dimension
+    if not disjoint:
+        # Partitioned and sorted as a merge join of the key needs it: no extra shuffle.
+        right = with_neighbour(right, [dim_key], "validFrom", tie=["validTo"], size_of=starts)
+        right = right.withColumn("validTo", F.least("validTo", F.col("next_validFrom") - 1))
+        right = right.drop("next_validFrom")
+    right = right.withColumnsRenamed(
         {dim_key: "__dim_key", "validFrom": "__from", "validTo": "__to"})
     condition = F.col(fact_key) == F.col("__dim_key")
     left = facts
+    cuts = NO_CUTS
+    if rows_per_cut != VERSIONS_PER_CUT or not _is_small(facts, starts):
+        cuts = find_cuts(starts, [dim_key], "validFrom", rows_per_cut=rows_per_cut)
     if cuts:
-        named = Cuts(cuts.by_key.withColumnRenamed(dim_key, "__dim_key"))
-        right = with_stretch(right, named, ["__dim_key"], "__from").drop("__cuts")
-        right = right.withColumnRenamed("__stretch", "__dim_stretch")
         named = Cuts(cuts.by_key.withColumnRenamed(dim_key, fact_key))
         left = with_stretch(left, named, [fact_key], ts).drop("__cuts")
+        named = Cuts(cuts.by_key.withColumnRenamed(dim_key, "__dim_key"))
+        right = with_stretch(right, named, ["__dim_key"], "__from")
+        # At most one version lies across a cut, so this adds no more rows than cuts.
+        last = stretch_number(F.col("__cuts"), F.greatest("__from", "__to"))
+        right = right.withColumn(
+            "__dim_stretch", F.explode(F.sequence(F.col("__stretch"), last)))
+        right = right.drop("__stretch", "__cuts")
         condition &= F.col("__stretch") == F.col("__dim_stretch")
     condition &= valid_at(F.col(ts), F.col("__from"), F.col("__to"), inclusive_end)
     joined = left.join(broadcast_within(right, dimension_rows), condition, how)
@@ -114,7 +141,9 @@ def latest_state_join(
         F.col(on).alias("__parent"), F.col(ts).alias("__from"),
         F.coalesce(F.col(f"next_{ts}"), F.lit(END_OF_TIME)).alias("__to"),
         *[F.col(c).alias(name) for c, name in parent_columns.items()])
-    cuts = find_cuts(alive, [on], ts, rows_per_cut=rows_per_cut)
+    cuts = NO_CUTS
+    if rows_per_cut != VERSIONS_PER_CUT or not _is_small(child, alive):
+        cuts = find_cuts(alive, [on], ts, rows_per_cut=rows_per_cut)
     condition = F.col(on) == F.col("__parent")
     if cuts:
         named = Cuts(cuts.by_key.withColumnRenamed(on, "__parent"))

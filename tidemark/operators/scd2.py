@@ -26,6 +26,7 @@ def tie_columns(df: DataFrame, tie: Sequence[str] = TIE_BREAK) -> list[str]:
 def latest_per_instant(
     changes: DataFrame, key: str, ts: str = "ts_ms", *,
     tie: Sequence[str] | None = None, rows_per_cut: int = ROWS_PER_CUT,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Keep the last change of each key and instant and add ``next_<ts>``.
 
@@ -34,7 +35,8 @@ def latest_per_instant(
     """
     tie = tie_columns(changes) if tie is None else list(tie)
     changes = changes.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    cuts = find_cuts(changes, [key], ts, tie=tie, carry=[ts], rows_per_cut=rows_per_cut)
+    cuts = find_cuts(changes, [key], ts, tie=tie, carry=[ts], rows_per_cut=rows_per_cut,
+                     size_of=size_of)
     changes = collapse_instants(changes, [key], ts, tie, cuts.hot_instants)
     ahead = with_neighbour(changes, [key], ts, tie=tie, cuts=cuts)
     following = F.col(f"next_{ts}")
@@ -50,23 +52,30 @@ def scd2_versions(
     entity: str,
     ts: str = "ts_ms",
     op: str = "op",
-    keep_delete_row: bool = True,
+    delete_rows: str = "open",
     tie: Sequence[str] | None = None,
     rows_per_cut: int = ROWS_PER_CUT,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """One row per version: ``sk``, attributes, ``validFrom``, ``validTo``.
 
     A version ends one millisecond before the next change of its key. The row
-    of a delete stays open, as no later change closes it; ``keep_delete_row=False``
-    leaves those rows out. ``attrs`` maps output names to columns of ``changes``
-    and should include the key.
+    of a delete stays ``"open"``, as the change log has no row that closes it;
+    ``"closed"`` ends it at the next change too, so that versions never
+    overlap, and ``"drop"`` leaves it out. ``attrs`` maps output names to columns of
+    ``changes`` and should include the key. ``size_of`` may name a cheaper frame of
+    about the same size.
     """
-    rows = latest_per_instant(changes, key, ts, tie=tie, rows_per_cut=rows_per_cut)
-    deleted = F.col(op) == "d"
-    if not keep_delete_row:
-        rows = rows.where(~F.coalesce(deleted, F.lit(False)))
-    end = F.when(deleted, F.lit(END_OF_TIME)).otherwise(
-        F.coalesce(F.col(f"next_{ts}") - 1, F.lit(END_OF_TIME)))
+    if delete_rows not in ("open", "closed", "drop"):
+        raise ValueError(f"unknown delete_rows: {delete_rows}")
+    rows = latest_per_instant(changes, key, ts, tie=tie, rows_per_cut=rows_per_cut,
+                              size_of=size_of)
+    deleted = F.coalesce(F.col(op) == "d", F.lit(False))
+    if delete_rows == "drop":
+        rows = rows.where(~deleted)
+    end = F.coalesce(F.col(f"next_{ts}") - 1, F.lit(END_OF_TIME))
+    if delete_rows == "open":
+        end = F.when(deleted, F.lit(END_OF_TIME)).otherwise(end)
     return rows.select(
         surrogate_key(entity, F.col(key), F.col(ts)).alias(sk),
         *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in attrs.items()],

@@ -27,6 +27,9 @@ ROWS_PER_CUT = 4_000_000
 # A group of rows of one instant counts as hot from this many sampled rows on.
 HOT_SAMPLES = 8
 
+# Below this estimated size no key can be too long for one task.
+SMALL_BYTES = 64 << 20
+
 _STRETCH, _CUTS = "__stretch", "__cuts"
 
 
@@ -44,6 +47,14 @@ class Cuts:
 NO_CUTS = Cuts(None)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The size the optimizer assumes, as for its own choice of join."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:  # a Connect session does not expose it
+        return 1 << 62
+
+
 def find_cuts(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,14 +65,18 @@ def find_cuts(
     latest: bool = False,
     rows_per_cut: int = ROWS_PER_CUT,
     max_cuts: int | None = None,
+    size_of: DataFrame | None = None,
 ) -> Cuts:
     """Choose cuts with one pass over key, time and carried columns only.
 
     ``carry`` columns of the first row of each cut (the last with ``latest``)
     travel with it. Instants with very many rows, as left by redelivered
     messages, are reported as well; a random row sample finds them.
-    Which cuts are chosen never changes a result.
+    Which cuts are chosen never changes a result. With the default
+    ``rows_per_cut`` the pass is left out where ``size_of`` (or the input) is small.
     """
+    if rows_per_cut == ROWS_PER_CUT and estimated_bytes(size_of or df) < SMALL_BYTES:
+        return NO_CUTS
     limit = MAX_CUTS if max_cuts is None else max_cuts
     edge = F.max if latest else F.min
     chosen = F.pmod(F.xxhash64(*keys, ts), F.lit(rows_per_cut)) == 0
@@ -134,6 +149,7 @@ def with_neighbour(
     prefix: str | None = None,
     rows_per_cut: int = ROWS_PER_CUT,
     cuts: Cuts | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of the next (or previous) row of the same key, in order of
     ``ts`` and then ``tie``, as ``next_<column>`` or ``previous_<column>``."""
@@ -141,7 +157,7 @@ def with_neighbour(
     prefix = prefix or ("previous_" if previous else "next_")
     if cuts is None:
         cuts = find_cuts(df, keys, ts, tie=tie, carry=carry, latest=previous,
-                         rows_per_cut=rows_per_cut)
+                         rows_per_cut=rows_per_cut, size_of=size_of)
     columns = [F.col(c) for c in df.columns]
     shift = F.lag if previous else F.lead
     order = [F.col(ts), *[F.col(c) for c in tie]]

@@ -76,7 +76,7 @@ def d_books(books: DataFrame, authors: DataFrame, *, effective_time: str = "grea
             author_rows: int | None = None, **options) -> DataFrame:
     joined = books_with_authors(books, authors, effective_time=effective_time,
                                 parent_rows=author_rows)
-    return build_versions(joined, "books", **options)
+    return build_versions(joined, "books", **{"size_of": books, **options})
 
 
 def services_with_carriers(services: DataFrame, carriers: DataFrame, **options) -> DataFrame:
@@ -91,7 +91,7 @@ def d_carrier_services(services: DataFrame, carriers: DataFrame, *,
                        **options) -> DataFrame:
     joined = services_with_carriers(services, carriers, effective_time=effective_time,
                                     parent_rows=carrier_rows)
-    return build_versions(joined, "carrier_services", **options)
+    return build_versions(joined, "carrier_services", **{"size_of": services, **options})
 
 
 def orders_presentation(orders_dimension: DataFrame) -> DataFrame:

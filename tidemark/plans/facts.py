@@ -21,6 +21,7 @@ def f_order_items(
     books: DataFrame,
     *,
     inclusive_end: bool = False,
+    disjoint: bool = False,
     orders_feed: DataFrame | None = None,
     customers_feed: DataFrame | None = None,
     books_feed: DataFrame | None = None,
@@ -30,7 +31,8 @@ def f_order_items(
     """Order items with order, customer and book keys, and the sales measure.
 
     ``*_feed`` frames hold the dimension's key and ``validFrom`` only; the
-    ``*_rows`` bounds allow a broadcast.
+    ``*_rows`` bounds allow a broadcast. ``disjoint`` asserts that no dimension
+    has overlapping versions.
     """
     rows = items.select(
         "order_item_id", "order_id", "book_id", "quantity", "ts_ms",
@@ -39,16 +41,16 @@ def f_order_items(
     rows = point_in_time_join(
         rows, orders.select("orderId", "orderSk", "customerId", "validFrom", "validTo"),
         ("order_id", "orderId"), "ts_ms", versions_from=orders_feed,
-        inclusive_end=inclusive_end)
+        inclusive_end=inclusive_end, disjoint=disjoint)
     rows = point_in_time_join(
         rows.withColumnRenamed("customerId", "customer_id"),
         customers.select("customerId", "customerSk", "validFrom", "validTo"),
         ("customer_id", "customerId"), "ts_ms", versions_from=customers_feed,
-        dimension_rows=customer_rows, inclusive_end=inclusive_end)
+        dimension_rows=customer_rows, inclusive_end=inclusive_end, disjoint=disjoint)
     rows = point_in_time_join(
         rows, books.select("bookId", "bookSk", "validFrom", "validTo"),
         ("book_id", "bookId"), "ts_ms", versions_from=books_feed,
-        dimension_rows=book_rows, inclusive_end=inclusive_end)
+        dimension_rows=book_rows, inclusive_end=inclusive_end, disjoint=disjoint)
     return order_item_fact(rows)
 
 
@@ -88,6 +90,7 @@ def f_shipment_events(
     services: DataFrame,
     *,
     inclusive_end: bool = False,
+    disjoint: bool = False,
     orders_feed: DataFrame | None = None,
     services_feed: DataFrame | None = None,
     service_rows: int | None = None,
@@ -96,11 +99,11 @@ def f_shipment_events(
     rows = point_in_time_join(
         rows, orders.select("orderId", "orderSk", "validFrom", "validTo"),
         ("order_id", "orderId"), "ts_ms", versions_from=orders_feed,
-        inclusive_end=inclusive_end)
+        inclusive_end=inclusive_end, disjoint=disjoint)
     rows = point_in_time_join(
         rows, services.select("serviceId", "carrierServiceSk", "validFrom", "validTo"),
         ("service_id", "serviceId"), "ts_ms", versions_from=services_feed,
-        dimension_rows=service_rows, inclusive_end=inclusive_end)
+        dimension_rows=service_rows, inclusive_end=inclusive_end, disjoint=disjoint)
     return shipment_event_fact(rows)
 
 
