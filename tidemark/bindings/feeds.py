@@ -31,6 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of files."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def epoch_ms(column: str) -> Column:
     return F.unix_millis(F.col(column).cast("timestamp"))
 
@@ -48,8 +54,8 @@ def text(template: str, *columns) -> Column:
     return F.format_string(template, *columns)
 
 
-def _authors(spark, sf_dir):
-    df = versions(table(spark, sf_dir, "nation"), F.col("n_nationkey") % 2 + 1)
+def _authors(read):
+    df = versions(read("nation"), F.col("n_nationkey") % 2 + 1)
     return df, START + F.col("n") * 2 * YEAR, F.col("n_nationkey") * 4 + F.col("n"), {
         "author_id": "n_nationkey",
         "first_name": "n_name",
@@ -59,8 +65,8 @@ def _authors(spark, sf_dir):
     }
 
 
-def _books(spark, sf_dir):
-    df = versions(table(spark, sf_dir, "part"), F.col("p_partkey") % 3 + 1)
+def _books(read):
+    df = versions(read("part"), F.col("p_partkey") % 3 + 1)
     ts = START + F.col("n") * YEAR + F.col("p_partkey") % 1000
     return df, ts, F.col("p_partkey") * 4 + F.col("n"), {
         "book_id": "p_partkey",
@@ -76,8 +82,8 @@ def _books(spark, sf_dir):
     }
 
 
-def _customers(spark, sf_dir):
-    df = versions(table(spark, sf_dir, "customer"), F.col("c_custkey") % 2 + 1)
+def _customers(read):
+    df = versions(read("customer"), F.col("c_custkey") % 2 + 1)
     return df, START + F.col("n") * 3 * YEAR, F.col("c_custkey") * 4 + F.col("n"), {
         "customer_id": "c_custkey",
         "first_name": F.left("c_name", F.lit(8)),
@@ -93,8 +99,8 @@ def _customers(spark, sf_dir):
     }
 
 
-def _orders(spark, sf_dir):
-    df = versions(table(spark, sf_dir, "orders"), F.col("o_orderkey") % 3 + 1)
+def _orders(read):
+    df = versions(read("orders"), F.col("o_orderkey") % 3 + 1)
     ts = epoch_ms("o_orderdate") + F.col("n") * 30 * DAY
     return df, ts, F.col("o_orderkey") * 4 + F.col("n"), {
         "order_id": "o_orderkey",
@@ -105,8 +111,8 @@ def _orders(spark, sf_dir):
     }
 
 
-def _order_items(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").withColumn("n", F.lit(0).cast("bigint"))
+def _order_items(read):
+    df = read("lineitem").withColumn("n", F.lit(0).cast("bigint"))
     return df, epoch_ms("l_shipdate"), F.col("l_orderkey") * 8 + F.col("l_linenumber"), {
         "order_item_id": line_id(),
         "order_id": "l_orderkey",
@@ -117,8 +123,8 @@ def _order_items(spark, sf_dir):
     }
 
 
-def _carriers(spark, sf_dir):
-    df = versions(table(spark, sf_dir, "nation"), F.col("n_nationkey") % 2 + 1)
+def _carriers(read):
+    df = versions(read("nation"), F.col("n_nationkey") % 2 + 1)
     return df, START + F.col("n") * 4 * YEAR, F.col("n_nationkey") * 4 + F.col("n"), {
         "carrier_id": "n_nationkey",
         "name": F.concat(F.lit("Carrier "), "n_name"),
@@ -127,8 +133,8 @@ def _carriers(spark, sf_dir):
     }
 
 
-def _shipping_services(spark, sf_dir):
-    df = versions(table(spark, sf_dir, "supplier"), F.col("s_suppkey") % 2 + 1)
+def _shipping_services(read):
+    df = versions(read("supplier"), F.col("s_suppkey") % 2 + 1)
     ts = START + F.col("n") * 3 * YEAR + F.col("s_suppkey") % 1000
     return df, ts, F.col("s_suppkey") * 4 + F.col("n"), {
         "service_id": "s_suppkey",
@@ -139,8 +145,8 @@ def _shipping_services(spark, sf_dir):
     }
 
 
-def _shipments(spark, sf_dir):
-    df = versions(table(spark, sf_dir, "orders"), F.lit(2))
+def _shipments(read):
+    df = versions(read("orders"), F.lit(2))
     day = F.col("o_orderdate").cast("date")
     late = (F.col("o_orderkey") % 11).cast("int")
     return df, epoch_ms("o_orderdate") + F.col("n") * 5 * DAY, F.col("o_orderkey") * 4 + F.col("n"), {
@@ -158,8 +164,8 @@ def _shipments(spark, sf_dir):
     }
 
 
-def _shipment_events(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").withColumn("n", F.lit(0).cast("bigint"))
+def _shipment_events(read):
+    df = read("lineitem").withColumn("n", F.lit(0).cast("bigint"))
     return df, epoch_ms("l_shipdate"), F.col("l_orderkey") * 8 + F.col("l_linenumber"), {
         "event_id": line_id(),
         "shipment_id": "l_orderkey",
@@ -175,13 +181,15 @@ _FEEDS: dict[str, Callable] = {
 }
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, *, whole_text: bool = False) -> DataFrame:
+def landed(spark: SparkSession, sf_dir: str, name: str, *, whole_text: bool = False,
+           streaming: bool = False) -> DataFrame:
     """The change feed of an entity with its landing schema.
 
     ``whole_text`` leaves texts as long as the source has them, as in the
     messages that landing cuts.
     """
-    df, ts, lsn, columns = _FEEDS[name](spark, sf_dir)
+    reader = stream_table if streaming else table
+    df, ts, lsn, columns = _FEEDS[name](lambda source: reader(spark, sf_dir, source))
     meta = {
         "op": F.when(F.col("n") == 0, "c").otherwise("u"),
         "emitted_ts_ms": ts + 5,
@@ -200,14 +208,15 @@ def landed(spark: SparkSession, sf_dir: str, name: str, *, whole_text: bool = Fa
     return df.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in schema])
 
 
-def messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, name: str, *, streaming: bool = False) -> DataFrame:
     """The change messages of an entity, as its source topic holds them."""
-    return to_message(landed(spark, sf_dir, name, whole_text=True), name)
+    return to_message(landed(spark, sf_dir, name, whole_text=True, streaming=streaming), name)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:
     """The ``events`` table as a feed of user states, with deletes."""
-    return event_changes(table(spark, sf_dir, "events"))
+    reader = stream_table if streaming else table
+    return event_changes(reader(spark, sf_dir, "events"))
 
 
 def event_changes(df: DataFrame) -> DataFrame:

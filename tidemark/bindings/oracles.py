@@ -402,6 +402,13 @@ def batch_oracles() -> dict[str, str]:
         "orders_presentation": f'SELECT * EXCLUDE ("customerId") FROM ({D_ORDERS})',
         "dq_constraints": _constraints(),
         "status_transitions": TRANSITIONS,
+        # A replay of a whole stream gives what the batch operators give.
+        "stream_landing_orders": landing("orders"),
+        "stream_scd2_events": EVENT_CHANGELOG,
+        "stream_fact": pit('order_item_id, order_id, book_id, ts_ms, o."orderSk", '
+                           'o.status AS "orderStatus"'),
+        "stream_stream_fact": pit('order_item_id, order_id, book_id, ts_ms, o."orderSk", '
+                                  'o.status AS "orderStatus"'),
         "sales_by_book": sales(D_BOOKS, "bookSk", 'd."bookId", d.title'),
         "sales_by_genre": sales(D_BOOKS, "bookSk", "d.genre"),
         "sales_by_author": sales(D_BOOKS, "bookSk", 'd."authorId", d."authorFirstName"'),

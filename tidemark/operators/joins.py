@@ -55,6 +55,7 @@ def point_in_time_join(
     dimension_rows: int | None = None,
     rows_per_cut: int = VERSIONS_PER_CUT,
     how: str = "inner",
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Give each fact the dimension version valid at its ``ts``.
 
@@ -68,6 +69,7 @@ def point_in_time_join(
     ``versions_from``, with columns ``on[1]`` and ``validFrom``, may name a cheaper
     frame with about the same version starts. ``dimension_rows`` is a proven upper
     bound of the dimension's rows; without it Spark chooses the strategy.
+    ``size_of`` may name a frame of about the size of the facts.
     """
     fact_key, dim_key = on
     starts = dimension if versions_from is None else versions_from
@@ -83,7 +85,7 @@ def point_in_time_join(
     condition = F.col(fact_key) == F.col("__dim_key")
     left = facts
     cuts = NO_CUTS
-    if rows_per_cut != VERSIONS_PER_CUT or not _is_small(facts, starts):
+    if rows_per_cut != VERSIONS_PER_CUT or not _is_small(size_of or facts, starts):
         cuts = find_cuts(starts, [dim_key], "validFrom", rows_per_cut=rows_per_cut)
     if cuts:
         named = Cuts(cuts.by_key.withColumnRenamed(dim_key, fact_key))

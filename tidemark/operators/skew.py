@@ -50,7 +50,8 @@ NO_CUTS = Cuts(None)
 def estimated_bytes(df: DataFrame) -> int:
     """The size the optimizer assumes, as for its own choice of join."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(str(size))
     except AttributeError:  # a Connect session does not expose it
         return 1 << 62
 

@@ -41,16 +41,16 @@ def f_order_items(
     rows = point_in_time_join(
         rows, orders.select("orderId", "orderSk", "customerId", "validFrom", "validTo"),
         ("order_id", "orderId"), "ts_ms", versions_from=orders_feed,
-        inclusive_end=inclusive_end, disjoint=disjoint)
+        inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
     rows = point_in_time_join(
         rows.withColumnRenamed("customerId", "customer_id"),
         customers.select("customerId", "customerSk", "validFrom", "validTo"),
         ("customer_id", "customerId"), "ts_ms", versions_from=customers_feed,
-        dimension_rows=customer_rows, inclusive_end=inclusive_end, disjoint=disjoint)
+        dimension_rows=customer_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
     rows = point_in_time_join(
         rows, books.select("bookId", "bookSk", "validFrom", "validTo"),
         ("book_id", "bookId"), "ts_ms", versions_from=books_feed,
-        dimension_rows=book_rows, inclusive_end=inclusive_end, disjoint=disjoint)
+        dimension_rows=book_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
     return order_item_fact(rows)
 
 
@@ -99,11 +99,11 @@ def f_shipment_events(
     rows = point_in_time_join(
         rows, orders.select("orderId", "orderSk", "validFrom", "validTo"),
         ("order_id", "orderId"), "ts_ms", versions_from=orders_feed,
-        inclusive_end=inclusive_end, disjoint=disjoint)
+        inclusive_end=inclusive_end, disjoint=disjoint, size_of=events)
     rows = point_in_time_join(
         rows, services.select("serviceId", "carrierServiceSk", "validFrom", "validTo"),
         ("service_id", "serviceId"), "ts_ms", versions_from=services_feed,
-        dimension_rows=service_rows, inclusive_end=inclusive_end, disjoint=disjoint)
+        dimension_rows=service_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=events)
     return shipment_event_fact(rows)
 
 
