@@ -405,6 +405,9 @@ def batch_oracles() -> dict[str, str]:
         # A replay of a whole stream gives what the batch operators give.
         "stream_landing_orders": landing("orders"),
         "stream_scd2_events": EVENT_CHANGELOG,
+        "stream_consolidated_events": event_versions(),
+        "stream_latest_join":
+            f"SELECT book_id, author_id, author_last_name, op, ts_ms, lsn FROM ({BOOKS_AUTHORS})",
         "stream_fact": pit('order_item_id, order_id, book_id, ts_ms, o."orderSk", '
                            'o.status AS "orderStatus"'),
         "stream_stream_fact": pit('order_item_id, order_id, book_id, ts_ms, o."orderSk", '

@@ -49,6 +49,8 @@ NO_CUTS = Cuts(None)
 
 def estimated_bytes(df: DataFrame) -> int:
     """The size the optimizer assumes, as for its own choice of join."""
+    if df.isStreaming:
+        return 1 << 62
     try:
         size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         return int(str(size))
