@@ -137,7 +137,7 @@ def with_stretch(df: DataFrame, cuts: Cuts, keys: Sequence[str], ts: str,
                  *, after: bool = False) -> DataFrame:
     """Add the stretch of each row, and the cuts of its key."""
     # At most MAX_CUTS entries in all, whatever the size of the data.
-    marked = df.join(F.broadcast(cuts.by_key), list(keys), "left")
+    marked = df.join(F.broadcast(cuts.by_key), list(keys), "left").select(*df.columns, _CUTS)
     return marked.withColumn(_STRETCH, stretch_number(F.col(_CUTS), F.col(ts), after=after))
 
 
