@@ -15,6 +15,7 @@ from ..catalog import METADATA, SOURCES, landing_schema
 from ..config import use_utc
 from ..functions.cdc import to_message
 from ..functions.columns import truncated
+from ..sources.topics import spread
 
 DAY = 86_400_000
 YEAR = 365 * DAY
@@ -210,7 +211,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str, *, whole_text: bool = Fa
 
 def messages(spark: SparkSession, sf_dir: str, name: str, *, streaming: bool = False) -> DataFrame:
     """The change messages of an entity, as its source topic holds them."""
-    return to_message(landed(spark, sf_dir, name, whole_text=True, streaming=streaming), name)
+    rows = landed(spark, sf_dir, name, whole_text=True, streaming=streaming)
+    return to_message(rows if streaming else spread(rows), name)
 
 
 def events(spark: SparkSession, sf_dir: str, *, streaming: bool = False) -> DataFrame:

@@ -2,59 +2,94 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..catalog import LANDED_TYPES, METADATA, SOURCES, Field
-from .columns import days_to_date, decode_decimal, encode_decimal, micros_to_timestamp, truncated
+from .columns import (
+    days_to_date,
+    decimal_of_digits,
+    encode_decimal,
+    hex_digits,
+    micros_to_timestamp,
+    truncated,
+)
 
 CORRUPT = "_corrupt"
 
 
-def envelope_schema(table: str) -> T.StructType:
-    """Only the paths that are read. Values are text, so a number written as
-    text and a number parse alike and a bad value never spoils its row."""
-    row = T.StructType([T.StructField(f.name, T.StringType()) for f in SOURCES[table].fields])
-    source = _texts("ts_ms", "version", "txId", "lsn", "gtid")
-    payload = T.StructType([*_texts("op", "ts_ms"), T.StructField("source", source),
-                            T.StructField("before", row), T.StructField("after", row)])
-    return T.StructType([T.StructField("payload", payload),
-                         T.StructField(CORRUPT, T.StringType())])
+_NUMBERS = ("id", "int", "timestamp", "date")
+
+
+def envelope_schema(table: str, as_text: bool = False) -> T.StructType:
+    """Only the paths that are read; ``as_text`` takes every value as it is written."""
+    text = T.StringType()
+    number = text if as_text else T.LongType()
+    row = T.StructType([
+        T.StructField(f.name, number if f.kind in _NUMBERS else text)
+        for f in SOURCES[table].fields])
+    source = T.StructType([
+        T.StructField("ts_ms", number), T.StructField("version", text),
+        T.StructField("txId", text), T.StructField("lsn", number), T.StructField("gtid", text)])
+    payload = T.StructType([
+        T.StructField("op", text), T.StructField("ts_ms", number),
+        T.StructField("source", source), T.StructField("before", row),
+        T.StructField("after", row)])
+    return T.StructType([T.StructField("payload", payload), T.StructField(CORRUPT, text)])
 
 
-def _texts(*names: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def _parsed(value: Column, schema: T.StructType) -> Column:
+    return F.from_json(value, schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def _at(path: str, type_name: str = "string") -> Column:
+    """A value of the message, from the second parse where there was one."""
+    return F.when(F.col("text").isNull(), F.col(path).try_cast(type_name)).otherwise(
+        F.col(f"text.{path}").try_cast(type_name))
 
 
 def metadata_columns(flavor: str) -> list[Column]:
     """The change metadata of a Postgres or MySQL message."""
     transaction = "payload.source.txId" if flavor == "postgres" else "payload.source.gtid"
     values = {
-        "op": F.left("payload.op", F.lit(1)),
-        "emitted_ts_ms": F.col("payload.ts_ms").try_cast("bigint"),
-        "ts_ms": F.col("payload.source.ts_ms").try_cast("bigint"),
-        "connector_version": F.left("payload.source.version", F.lit(20)),
-        "transaction_id": F.left(transaction, F.lit(20)),
-        "lsn": F.col("payload.source.lsn").try_cast("bigint"),
+        "op": F.left(_at("payload.op"), F.lit(1)),
+        "emitted_ts_ms": _at("payload.ts_ms", "bigint"),
+        "ts_ms": _at("payload.source.ts_ms", "bigint"),
+        "connector_version": F.left(_at("payload.source.version"), F.lit(20)),
+        "transaction_id": F.left(_at(transaction), F.lit(20)),
+        "lsn": _at("payload.source.lsn", "bigint"),
     }
     return [values[name].alias(name) for name, _ in METADATA[flavor]]
 
 
+def _raw(field: Field, decode_decimals: bool) -> Column:
+    """The value of a field, from ``before`` where the message is a delete."""
+    kind = {"timestamp": "bigint", "date": "int", "decimal": "string"}.get(
+        field.kind, LANDED_TYPES[field.kind])
+    raw = F.coalesce(_at(f"payload.after.{field.name}", kind), F.when(
+        _at("payload.op") == "d", _at(f"payload.before.{field.name}", kind)))
+    if field.kind == "decimal" and decode_decimals:
+        raw = hex_digits(raw)
+    return raw.alias(field.name)
+
+
 def _landed(field: Field, decode_decimals: bool) -> Column:
-    # The row image of a delete is in ``before``.
-    raw = F.coalesce(F.col(f"payload.after.{field.name}"), F.when(
-        F.col("payload.op") == "d", F.col(f"payload.before.{field.name}")))
+    raw = F.col(field.name)
     if field.kind == "text":
         value = truncated(raw, field.length)
     elif field.kind == "timestamp":
-        value = micros_to_timestamp(raw.try_cast("bigint"))
+        value = micros_to_timestamp(raw)
     elif field.kind == "date":
-        value = days_to_date(raw.try_cast("int"))
-    elif field.kind == "decimal":
-        value = decode_decimal(raw) if decode_decimals else raw
+        value = days_to_date(raw)
+    elif field.kind == "decimal" and decode_decimals:
+        value = decimal_of_digits(raw)
     else:
-        value = raw.try_cast(LANDED_TYPES[field.kind])
+        value = raw
     return value.alias(field.name)
 
 
@@ -62,24 +97,31 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
                   decode_decimals: bool = True) -> DataFrame:
     """Typed landing rows plus ``_error`` (NULL for good rows) and ``_raw``.
 
-    Each message is parsed once: a generator keeps the optimizer from copying
-    the parse into every column and filter above it.
+    Each message is parsed once, straight to numbers; a generator keeps the
+    optimizer from copying the parse into every column and filter above it. Only a
+    message that does not fit is parsed again as text, so that a number written
+    as text still counts and one bad value never spoils its row.
     """
     source = SOURCES[table]
-    parsed = F.from_json(F.col(value), envelope_schema(table), {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    opened = messages.select(F.col(value).alias("_raw"), F.inline(F.array(parsed)))
+    opened = messages.select(F.col(value).alias("_raw"), F.inline(F.array(
+        _parsed(F.col(value), envelope_schema(table)))))
+    again = F.when(F.col(CORRUPT).isNotNull(),
+                   _parsed(F.col("_raw"), envelope_schema(table, as_text=True)))
+    opened = opened.select("_raw", "payload", F.explode(F.array(again)).alias("text"))
     rows = opened.select(
-        *[_landed(f, decode_decimals) for f in source.fields],
-        *metadata_columns(source.flavor), CORRUPT, "_raw")
-    missing = F.array_compact(F.array(*[
-        F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in source.fields if f.required]))
+        *[_raw(f, decode_decimals) for f in source.fields],
+        *metadata_columns(source.flavor), F.col(f"text.{CORRUPT}").alias(CORRUPT), "_raw")
+    required = [f.name for f in source.fields if f.required]
+    absent = F.concat_ws(", ", *[F.when(F.col(n).isNull(), n) for n in required])
     error = (
         F.when(F.col(CORRUPT).isNotNull(), "malformed message")
         .when(F.col("op").isNull() | F.col("ts_ms").isNull(), "no operation or time")
-        .when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))
+        .when(reduce(or_, [F.col(n).isNull() for n in required]),
+              F.concat(F.lit("missing "), absent))
     )
-    return rows.withColumn("_error", error).drop(CORRUPT)
+    return rows.select(*[_landed(f, decode_decimals) for f in source.fields],
+                       *[n for n, _ in METADATA[source.flavor]],
+                       error.alias("_error"), "_raw")
 
 
 def landed_rows(parsed: DataFrame) -> DataFrame:

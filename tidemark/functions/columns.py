@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,24 +22,27 @@ def days_to_date(days: Column) -> Column:
     return F.date_from_unix_date(days.cast("int"))
 
 
-def decode_unscaled(encoded: Column) -> Column:
-    """Base64 of a big-endian two's-complement integer of up to 8 bytes, as BIGINT.
+def hex_digits(encoded: Column) -> Column:
+    """Base64 text as hexadecimal digits; NULL where it is not Base64."""
+    return F.hex(F.try_to_binary(encoded, F.lit("base64")))
+
+
+def decimal_of_digits(digits: Column, scale: int = 2, precision: int = 10) -> Column:
+    """Big-endian two's-complement integer of up to 8 bytes, scaled.
 
-    Empty, invalid or longer input gives NULL.
+    Empty or longer input gives NULL.
     """
-    digits = F.hex(F.try_to_binary(encoded, F.lit("base64")))
-    negative = F.conv(F.left(digits, F.lit(1)), 16, 10).cast("int") >= 8
-    widened = F.lpad(digits, 16, F.lit("0"))
-    widened = F.when(negative, F.lpad(digits, 16, F.lit("F"))).otherwise(widened)
+    sign = F.when(digits >= F.lit("8"), F.lit("F")).otherwise(F.lit("0"))
+    widened = F.lpad(digits, F.lit(16), sign)
     fits = F.length(digits).between(2, 16)
-    return F.when(fits, F.conv(widened, 16, -10).try_cast("bigint"))
+    unscaled = F.when(fits, F.conv(widened, 16, -10).try_cast("bigint"))
+    exact = unscaled.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))
+    return exact.try_cast(f"decimal({precision},{scale})")
 
 
 def decode_decimal(encoded: Column, scale: int = 2, precision: int = 10) -> Column:
     """NUMERIC carried as Base64 bytes, decoded exactly and with its sign."""
-    unscaled = decode_unscaled(encoded).cast("decimal(19,0)")
-    exact = unscaled * F.lit(f"1e-{scale}").cast(f"decimal({scale + 1},{scale})")
-    return exact.try_cast(f"decimal({precision},{scale})")
+    return decimal_of_digits(hex_digits(encoded), scale, precision)
 
 
 def encode_decimal(number: Column, scale: int = 2) -> Column:
@@ -45,7 +50,7 @@ def encode_decimal(number: Column, scale: int = 2) -> Column:
     unscaled = F.round(number * F.lit(10**scale)).cast("bigint")
     digits = F.hex(unscaled)
     even = F.when(F.length(digits) % 2 == 1, F.concat(F.lit("0"), digits)).otherwise(digits)
-    sign_bit = F.conv(F.left(even, F.lit(1)), 16, 10).cast("int") >= 8
+    sign_bit = even >= F.lit("8")
     signed = F.when((unscaled >= 0) & sign_bit, F.concat(F.lit("00"), even)).otherwise(even)
     return F.base64(F.unhex(signed))
 
