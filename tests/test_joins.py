@@ -4,7 +4,13 @@ import pytest
 from harness import Harness
 
 from tidemark.config import END_OF_TIME as END
-from tidemark.operators.joins import latest_state, latest_state_join, point_in_time_join
+from tidemark.operators.joins import (
+    join_state,
+    latest_state,
+    latest_state_join,
+    point_in_time_join,
+)
+from tidemark.operators.skew import salt_hot_keys
 from tidemark.streaming.processors import LatestStateJoin
 
 DIM = "k INT, sk STRING, validFrom BIGINT, validTo BIGINT"
@@ -37,7 +43,9 @@ def test_open_delete_row_does_not_match_beside_its_successor(spark):
 @pytest.mark.parametrize("options", [
     {}, {"rows_per_cut": 4}, {"rows_per_cut": 1}, {"dimension_rows": 1000},
     {"rows_per_cut": 3, "dimension_rows": 1000}, {"disjoint": True, "rows_per_cut": 5},
-    {"how": "left", "rows_per_cut": 4}, {"how": "left_anti", "rows_per_cut": 4}])
+    {"how": "left", "rows_per_cut": 4}, {"how": "left_anti", "rows_per_cut": 4},
+    {"rows_per_part": 20}, {"rows_per_part": 20, "rows_per_cut": 5},
+    {"rows_per_part": 20, "how": "left"}, {"rows_per_part": 9, "how": "left_anti"}])
 def test_hot_key_matches_a_walk(spark, options):
     """One key with a third of all facts and most versions."""
     rng = random.Random(11)
@@ -58,6 +66,10 @@ def test_hot_key_matches_a_walk(spark, options):
         elif match or how == "left":
             expected.append((i, k, ts, match[0] if match else None))
     assert run(spark, facts, dims, **options) == sorted(expected, key=lambda r: r[:3])
+    if "rows_per_part" in options:
+        sample = spark.createDataFrame(facts, FACT).select("fk", "ts_ms")
+        assert run(spark, facts, dims, keys_from=sample, **options) == sorted(
+            expected, key=lambda r: r[:3])
 
 
 CHILD = "ck INT, pk INT, ts_ms BIGINT, op STRING, name STRING"
@@ -81,16 +93,17 @@ def walk(children, parents):
     return sorted(out)
 
 
-@pytest.mark.parametrize("rows_per_cut", [None, 1, 3, 10])
-@pytest.mark.parametrize("seed", range(3))
-def test_latest_state_join_matches_a_walk(spark, seed, rows_per_cut):
+@pytest.mark.parametrize("options", [
+    {}, {"rows_per_cut": 1}, {"rows_per_cut": 10}, {"rows_per_part": 15},
+    {"rows_per_cut": 3, "rows_per_part": 15}])
+@pytest.mark.parametrize("seed", range(2))
+def test_latest_state_join_matches_a_walk(spark, seed, options):
     rng = random.Random(seed)
     times = rng.sample(range(10_000), 400)
     children = [(rng.randrange(25), 0 if rng.random() < 0.4 else rng.randrange(5), t,
                  rng.choice("cuuud"), f"n{t}") for t in times[:250]]
     parents = [(0 if rng.random() < 0.5 else rng.randrange(5), t, rng.choice("cuuud"), f"t{t}")
                for t in times[250:]]
-    options = {} if rows_per_cut is None else {"rows_per_cut": rows_per_cut}
     got = latest_state_join(
         spark.createDataFrame(children, CHILD), spark.createDataFrame(parents, PARENT), "pk", "ck",
         parent_columns={"title": "title"}, **options).collect()
@@ -137,3 +150,18 @@ def test_latest_state(spark):
         [(1, 7, 5, "c", "old"), (1, 7, 9, "u", "new"), (2, 7, 1, "c", "only")], CHILD)
     assert sorted((r["ck"], r["name"]) for r in latest_state(df, "ck").collect()) == [
         (1, "new"), (2, "only")]
+
+
+def test_hot_key_is_split(spark):
+    """Copies of one row spread over the parts, and each part meets the state."""
+    rows = spark.range(0, 4000, 1, 8).selectExpr(
+        "0 AS id", "CASE WHEN id % 3 = 0 THEN 7 ELSE CAST(id AS INT) END AS fk", "5L AS ts_ms")
+    state = spark.range(4000).selectExpr("CAST(id AS INT) AS fk", "id * 2 AS twice")
+    salted = salt_hot_keys(rows, state.withColumnRenamed("fk", "k"), ["fk"], ["k"],
+                           spread_by="id", rows_per_part=300)
+    sizes = [r["count"] for r in salted.left.where("fk = 7").groupBy("__part").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 600 and sum(sizes) == 1335
+    assert salted.right.where("k <> 7").count() == 3999
+    got = join_state(rows, state, "fk", spread_by="id", rows_per_part=300)
+    assert got.columns == ["id", "fk", "ts_ms", "twice"]
+    assert got.count() == 4000 and got.where("twice <> fk * 2").count() == 0

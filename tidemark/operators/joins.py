@@ -3,8 +3,8 @@
 All of them join on the key and, for keys with very many versions, on a stretch
 of time as well. Stretches begin at version starts, so a version lies in
 one stretch and a row meets only the versions near it instead of all of its key.
-Many rows on one key are left to adaptive execution, which splits such a
-partition; no step after the join in the same stage needs its partitioning.
+Keys with very many rows on the left are split into parts, and the few
+versions they meet are repeated for each part.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from ..functions.columns import valid_at
 from .scd2 import latest_per_instant, tie_columns
 from .skew import (
     NO_CUTS,
+    ROWS_PER_CUT,
     Cuts,
     estimated_bytes,
     find_cuts,
+    salt_hot_keys,
     stretch_number,
     with_neighbour,
     with_stretch,
@@ -33,9 +35,13 @@ SMALL_PRODUCT = 10**14
 MAX_BROADCAST_ROWS = 500_000
 
 
-def broadcast_within(df: DataFrame, rows: int | None, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def fits_broadcast(rows: int | None) -> bool:
+    return rows is not None and rows <= MAX_BROADCAST_ROWS
+
+
+def broadcast_within(df: DataFrame, rows: int | None) -> DataFrame:
     """Broadcast hint for a frame of at most ``rows`` rows, if that is small enough."""
-    return F.broadcast(df) if rows is not None and rows <= limit else df
+    return F.broadcast(df) if fits_broadcast(rows) else df
 
 
 def _is_small(left: DataFrame, right: DataFrame) -> bool:
@@ -52,8 +58,10 @@ def point_in_time_join(
     inclusive_end: bool = False,
     disjoint: bool = False,
     versions_from: DataFrame | None = None,
+    keys_from: DataFrame | None = None,
     dimension_rows: int | None = None,
     rows_per_cut: int = VERSIONS_PER_CUT,
+    rows_per_part: int = ROWS_PER_CUT,
     how: str = "inner",
     size_of: DataFrame | None = None,
 ) -> DataFrame:
@@ -69,7 +77,8 @@ def point_in_time_join(
     ``versions_from``, with columns ``on[1]`` and ``validFrom``, may name a cheaper
     frame with about the same version starts. ``dimension_rows`` is a proven upper
     bound of the dimension's rows; without it Spark chooses the strategy.
-    ``size_of`` may name a frame of about the size of the facts.
+    ``keys_from``, with columns ``on[0]`` and ``ts``, may name a cheaper frame with keys
+    distributed as in the facts, and ``size_of`` one of about their size.
     """
     fact_key, dim_key = on
     starts = dimension if versions_from is None else versions_from
@@ -98,9 +107,22 @@ def point_in_time_join(
             "__dim_stretch", F.explode(F.sequence(F.col("__stretch"), last)))
         right = right.drop("__stretch", "__cuts")
         condition &= F.col("__stretch") == F.col("__dim_stretch")
+    if not fits_broadcast(dimension_rows):
+        stretched = bool(cuts)
+        if keys_from is not None and stretched:
+            named = Cuts(cuts.by_key.withColumnRenamed(dim_key, fact_key))
+            keys_from = with_stretch(keys_from, named, [fact_key], ts)
+        salted = salt_hot_keys(
+            left, right, [fact_key, "__stretch"] if stretched else [fact_key],
+            ["__dim_key", "__dim_stretch"] if stretched else ["__dim_key"],
+            spread_by=ts, rows_per_part=rows_per_part, size_of=size_of or facts,
+            sample_from=keys_from)
+        left, right = salted.left, salted.right
+        condition = condition if salted.condition is None else condition & salted.condition
     condition &= valid_at(F.col(ts), F.col("__from"), F.col("__to"), inclusive_end)
     joined = left.join(broadcast_within(right, dimension_rows), condition, how)
-    spare = {"__dim_key", "__from", "__to", "__stretch", "__dim_stretch"}
+    spare = {"__dim_key", "__from", "__to", "__stretch", "__dim_stretch", "__part",
+             "__right_part"}
     return joined.select(*[c for c in joined.columns if c not in spare])
 
 
@@ -123,6 +145,7 @@ def latest_state_join(
     effective_time: str = "greatest",
     parent_rows: int | None = None,
     rows_per_cut: int = VERSIONS_PER_CUT,
+    rows_per_part: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Join two change feeds so that a change on either side gives the joined row.
 
@@ -158,6 +181,14 @@ def latest_state_join(
         children = children.withColumn(
             "__stretch", F.explode(F.sequence(F.col("__stretch"), last))).drop("__cuts")
         condition &= F.col("__stretch") == F.col("__parent_stretch")
+    if not fits_broadcast(parent_rows):
+        stretched = bool(cuts)
+        salted = salt_hot_keys(
+            children, parents, [on, "__stretch"] if stretched else [on],
+            ["__parent", "__parent_stretch"] if stretched else ["__parent"],
+            spread_by=child_key, rows_per_part=rows_per_part, size_of=child)
+        children, parents = salted.left, salted.right
+        condition = condition if salted.condition is None else condition & salted.condition
     condition &= (F.col("__from") < F.col("__end")) & (F.col(ts) < F.col("__to"))
     joined = children.join(broadcast_within(parents, parent_rows), condition)
     if effective_time == "greatest":
@@ -165,6 +196,20 @@ def latest_state_join(
     return joined.select(*child.columns, *parent_columns.values())
 
 
+def join_state(rows: DataFrame, state: DataFrame, on: str, *, spread_by: str,
+               state_rows: int | None = None, rows_per_part: int = ROWS_PER_CUT) -> DataFrame:
+    """Inner join with one state row per key; hot keys of ``rows`` are split."""
+    right = state.withColumnRenamed(on, "__key")
+    condition = F.col(on) == F.col("__key")
+    if not fits_broadcast(state_rows):
+        salted = salt_hot_keys(rows, right, [on], ["__key"], spread_by=spread_by,
+                               rows_per_part=rows_per_part)
+        rows, right = salted.left, salted.right
+        condition = condition if salted.condition is None else condition & salted.condition
+    joined = rows.join(broadcast_within(right, state_rows), condition)
+    return joined.drop("__key", "__part", "__right_part")
+
+
 def without_match(facts: DataFrame, dimension: DataFrame, on: tuple[str, str], ts: str,
                   **options) -> DataFrame:
     """Facts that no version of the dimension is valid for."""

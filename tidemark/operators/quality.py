@@ -87,7 +87,7 @@ def uniqueness_report(rows: DataFrame, table: str, columns: Sequence[str]) -> Da
 def reference_report(child: DataFrame, parent: DataFrame, reference: Reference) -> DataFrame:
     """Distinct foreign keys without a parent; distinct first, so hot keys vanish."""
     wanted = child.select(F.col(reference.column).alias("k")).where("k IS NOT NULL").distinct()
-    known = parent.select(F.col(SOURCES[reference.parent].key).alias("k"))
+    known = parent.select(F.col(SOURCES[reference.parent].key).alias("k")).distinct()
     rule = f"{reference.table}.{reference.column}_without_{reference.parent}"
     missing = wanted.join(known, "k", "left_anti")
     return _long(missing.agg(F.count("*").alias(rule)), [rule])

@@ -201,3 +201,69 @@ def collapse_instants(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence
         .select("r.*")
     )
     return marked.where("__hot IS NULL").select(*df.columns).unionByName(last)
+
+
+@dataclass(frozen=True)
+class Salted:
+    """Both sides of a join and the equality that its salt adds, if any."""
+
+    left: DataFrame
+    right: DataFrame
+    condition: Column | None
+
+
+def salt_hot_keys(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    *,
+    spread_by: str,
+    rows_per_part: int = ROWS_PER_CUT,
+    size_of: DataFrame | None = None,
+    sample_from: DataFrame | None = None,
+    max_keys: int | None = None,
+) -> Salted:
+    """Split the rows that ``left`` has on its hot keys, for a join with ``right``.
+
+    A key of about ``rows_per_part`` rows or more is split into parts of that
+    size; the rows of ``right`` with that key are repeated once per part.
+    Adaptive execution would only do this where both sides are freshly
+    shuffled, and here the right side usually comes out of a window. Hot keys are
+    found by a random sample of the key columns; which ones are found never
+    changes a result, so ``sample_from`` may name a cheaper frame whose keys are
+    distributed alike. A row's part follows from ``spread_by`` and its input task, so
+    copies of one row spread too.
+    """
+    if rows_per_part == ROWS_PER_CUT and estimated_bytes(size_of or left) < SMALL_BYTES:
+        return Salted(left, right, None)
+    if left.isStreaming:
+        return Salted(left, right, None)
+    limit = MAX_CUTS if max_keys is None else max_keys
+    rate = min(1.0, 2.0 * HOT_SAMPLES / rows_per_part)
+    expected = rows_per_part * rate
+    found = (
+        (sample_from or left).select(*left_keys).where(F.rand(29) < F.lit(rate))
+        .groupBy(*left_keys).count().where(F.col("count") >= F.lit(expected / 2))
+        .limit(limit + 1).collect()
+    )
+    if len(found) > limit:
+        return salt_hot_keys(left, right, left_keys, right_keys, spread_by=spread_by,
+                             rows_per_part=rows_per_part * 16, sample_from=sample_from,
+                             max_keys=limit)
+    hot = [(*r[:-1], int(r["count"] / (expected / 2)) + 1)
+           for r in found if all(v is not None for v in r[:-1])]
+    if not hot:
+        return Salted(left, right, None)
+    schema = left.select(*left_keys, F.lit(0).alias("__parts")).schema
+    # At most MAX_CUTS rows, whatever the size of the data.
+    parts = F.broadcast(left.sparkSession.createDataFrame(hot, schema))
+    spot = F.pmod(F.xxhash64(spread_by) + F.spark_partition_id(), F.col("__parts"))
+    marked = left.join(parts, list(left_keys), "left").select(
+        *left.columns, F.coalesce(spot, F.lit(0)).cast("int").alias("__part"))
+    named = parts.withColumnsRenamed(dict(zip(left_keys, right_keys)))
+    repeated = right.join(named, list(right_keys), "left").select(
+        *right.columns,
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1))
+        .alias("__right_part"))
+    return Salted(marked, repeated, F.col("__part") == F.col("__right_part"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import FACTS
 from ..functions.columns import price_total, surrogate_key
-from ..operators.joins import broadcast_within, latest_state, latest_state_join, point_in_time_join
+from ..operators.joins import join_state, latest_state, latest_state_join, point_in_time_join
 
 SHIPMENT_COLUMNS = ("order_id", "service_id", "tracking_number", "shipping_status",
                     "shipped_date", "expected_delivery_date", "actual_delivery_date",
@@ -46,10 +46,13 @@ def f_order_items(
         rows.withColumnRenamed("customerId", "customer_id"),
         customers.select("customerId", "customerSk", "validFrom", "validTo"),
         ("customer_id", "customerId"), "ts_ms", versions_from=customers_feed,
+        keys_from=orders.select(F.col("customerId").alias("customer_id"),
+                                F.col("validFrom").alias("ts_ms")),
         dimension_rows=customer_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
     rows = point_in_time_join(
         rows, books.select("bookId", "bookSk", "validFrom", "validTo"),
         ("book_id", "bookId"), "ts_ms", versions_from=books_feed,
+        keys_from=items.select("book_id", "ts_ms"),
         dimension_rows=book_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
     return order_item_fact(rows)
 
@@ -71,7 +74,7 @@ def events_with_shipments(events: DataFrame, shipments: DataFrame, *,
                                           "emitted_ts_ms"), "shipment_id")
     state = state.select("shipment_id", *SHIPMENT_COLUMNS)
     kept = events.select("event_id", "shipment_id", "status", "location", "ts_ms")
-    return kept.join(broadcast_within(state, shipment_rows), "shipment_id")
+    return join_state(kept, state, "shipment_id", spread_by="event_id", state_rows=shipment_rows)
 
 
 def shipment_event_changes(events: DataFrame, shipments: DataFrame, **options) -> DataFrame:
@@ -99,10 +102,12 @@ def f_shipment_events(
     rows = point_in_time_join(
         rows, orders.select("orderId", "orderSk", "validFrom", "validTo"),
         ("order_id", "orderId"), "ts_ms", versions_from=orders_feed,
+        keys_from=shipments.select("order_id", "ts_ms"),
         inclusive_end=inclusive_end, disjoint=disjoint, size_of=events)
     rows = point_in_time_join(
         rows, services.select("serviceId", "carrierServiceSk", "validFrom", "validTo"),
         ("service_id", "serviceId"), "ts_ms", versions_from=services_feed,
+        keys_from=shipments.select("service_id", "ts_ms"),
         dimension_rows=service_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=events)
     return shipment_event_fact(rows)
 
