@@ -14,7 +14,9 @@ from tidemark.operators.upsert import new_rows, upsert_versions
 from tidemark.plans import dimensions, facts, rebuild
 from tidemark.plans.dimensions import to_warehouse
 from tidemark.sources.sinks import append_new, merge_versions, read_versions
+from tidemark.sources.topics import read_rows
 from tidemark.streaming import jobs
+from tidemark.streaming.operators import stream_changelog
 
 DIM = "sk STRING, name STRING, validFrom BIGINT, validTo BIGINT"
 
@@ -43,6 +45,9 @@ def test_append_new(spark, tmp_path):
     append_new(first, path, "sk")
     append_new(first.unionByName(spark.createDataFrame([("b", 2)], first.schema)), path, "sk")
     assert rows(spark.read.parquet(path)) == [("a", 1), ("b", 2)]
+    append_new(spark.createDataFrame([("b", 2), ("c", 3)], first.schema), path, "sk",
+               time_column="n")
+    assert rows(spark.read.parquet(path)) == [("a", 1), ("b", 2), ("c", 3)]
 
 
 def test_version_table_merges(spark, tmp_path):
@@ -175,6 +180,10 @@ def test_streams_give_what_the_rebuild_gives(spark, sf_dir, topics, tmp_path):
         jobs.start_dimension(spark, name, settings, bounded=True).awaitTermination()
         jobs.start_dimension_table(spark, name, settings).awaitTermination()
         assert same(expected[name], jobs.dimension_table(spark, name, settings)), name
+        jobs.start_consolidated(spark, name, settings, bounded=True).awaitTermination()
+        held = read_rows(spark, settings.dataset(DIMENSIONS[name].topic + ".consolidated"),
+                         DIMENSIONS[name].schema)
+        assert same(expected[name], held), name
     jobs.start_order_item_fact(spark, settings).awaitTermination()
     stored = spark.read.parquet(settings.dataset(FACTS["order_items"].topic))
     assert same(expected["order_items"], stored)
@@ -183,6 +192,22 @@ def test_streams_give_what_the_rebuild_gives(spark, sf_dir, topics, tmp_path):
     # A second run finds nothing new.
     jobs.start_dimension_table(spark, "orders", settings).awaitTermination()
     assert same(expected["orders"], jobs.dimension_table(spark, "orders", settings))
+    # The other fact, on the same order dimension.
+    for table in ("shipping_services", "carriers", "shipments", "shipment_events"):
+        jobs.start_landing(spark, table, settings).awaitTermination()
+    jobs.start_joined_feed(spark, "carrier_services", settings).awaitTermination()
+    jobs.start_dimension(spark, "carrier_services", settings, bounded=True).awaitTermination()
+    jobs.start_dimension_table(spark, "carrier_services", settings).awaitTermination()
+    jobs.start_shipment_event_fact(spark, settings).awaitTermination()
+    stored = spark.read.parquet(settings.dataset(FACTS["shipment_events"].topic))
+    assert same(expected["shipment_events"], stored)
+
+
+def test_ttl_needs_processing_time(spark, sf_dir):
+    changes = feeds.events(spark, sf_dir, streaming=True)
+    with pytest.raises(ValueError):
+        stream_changelog(changes, "user_id", {"user_id": "user_id"}, sk="sk", entity="e",
+                         settings=Settings(state_ttl_ms=30_000))
 
 
 def test_current_and_changelog_agree(spark, sf_dir):

@@ -402,6 +402,13 @@ def batch_oracles() -> dict[str, str]:
         "orders_presentation": f'SELECT * EXCLUDE ("customerId") FROM ({D_ORDERS})',
         "dq_constraints": _constraints(),
         "status_transitions": TRANSITIONS,
+        "dim_topic_round_trip":
+            f"SELECT * FROM ({D_ORDERS}) WHERE \"shippingMethod\" <> '5-LOW'",
+        "warehouse_carrier_services":
+            f'SELECT * REPLACE ("serviceId"::VARCHAR AS "serviceId") FROM ({D_SERVICES})',
+        "stream_insert_ignore":
+            f'SELECT {_ITEM_SK} AS "orderItemSk", order_item_id AS "orderItemId", quantity, '
+            f'ts_ms AS "transactionTime" FROM ({_ITEMS})',
         # A replay of a whole stream gives what the batch operators give.
         "stream_landing_orders": landing("orders"),
         "stream_scd2_events": EVENT_CHANGELOG,

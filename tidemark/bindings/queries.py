@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..catalog import DIMENSIONS
 from ..functions.cdc import landed_rows, parse_changes, rejected_rows, to_message
 from ..functions.columns import acceptance_window_end, surrogate_key
 from ..operators import scd2
@@ -15,6 +16,7 @@ from ..operators.joins import point_in_time_join, without_match
 from ..operators.quality import constraint_report, invalid_transitions
 from ..operators.upsert import new_rows, upsert_versions
 from ..plans import dimensions, facts, reports
+from ..sources.topics import good_rows, parse_rows, to_json_rows
 from . import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,6 +272,21 @@ def dq_constraints(spark, sf_dir):
     return constraint_report({n: feeds.landed(spark, sf_dir, n) for n in names})
 
 
+def dim_topic_round_trip(spark, sf_dir):
+    """The order dimension as JSON messages, with a broken one for every low priority."""
+    orders = _d_orders(spark, sf_dir)
+    low = F.col("value").contains('"shippingMethod":"5-LOW"')
+    messages = to_json_rows(orders).select(
+        F.when(low, F.left("value", F.length("value") - 1)).otherwise(F.col("value"))
+        .alias("value"))
+    return plain(good_rows(parse_rows(messages, orders.schema), orders.schema))
+
+
+def warehouse_carrier_services(spark, sf_dir):
+    return dimensions.to_warehouse(_d_services(spark, sf_dir),
+                                   DIMENSIONS["carrier_services"].warehouse_schema)
+
+
 def status_transitions(spark, sf_dir):
     return invalid_transitions(feeds.landed(spark, sf_dir, "shipments"))
 
@@ -285,7 +302,7 @@ def batch_queries() -> dict[str, Query]:
         services_carriers_joined, shipment_events_joined, shipment_events_latest, pit_orders,
         pit_orders_inclusive, fact_order_items, fact_shipment_events, unmatched_items, upsert_dim,
         insert_ignore_fact, corrupt_quarantine, delivery_time_by_service, orders_presentation,
-        dq_constraints, status_transitions,
+        dq_constraints, status_transitions, dim_topic_round_trip, warehouse_carrier_services,
     ]
     return {
         **{LANDING_NAMES.get(t, f"landing_{t}"): _landing(t) for t in feeds._FEEDS},

@@ -32,10 +32,14 @@ class Settings:
     order_grace_ms: int = 100
     batch_rows: int = 1000
 
-    def dataset(self, root_name: str) -> str:
-        """Dataset path with the environment as suffix: ``store.orders.landing.dev``."""
+    def topic(self, root_name: str) -> str:
+        """Topic name with the environment as suffix: ``store.orders.landing.dev``."""
         env = self.environment if self.environment is not None else os.environ.get("ENVIRONMENT")
-        return f"{self.root}/{root_name}.{env}" if env else f"{self.root}/{root_name}"
+        return f"{root_name}.{env}" if env else root_name
+
+    def dataset(self, root_name: str) -> str:
+        """Path of the directory that stands for a topic or table."""
+        return f"{self.root}/{self.topic(root_name)}"
 
 
 def session_defaults(builder):

@@ -14,7 +14,13 @@ from ..config import Settings
 from ..functions.cdc import landed_rows, parse_changes, rejected_rows
 from ..plans import dimensions, facts
 from ..sources.sinks import merge_versions, read_versions
-from ..sources.topics import read_changes, read_landing, read_rows
+from ..sources.topics import (
+    read_changes,
+    read_dimension,
+    read_landing,
+    read_rows,
+    to_json_rows,
+)
 from . import operators as streams
 
 
@@ -23,21 +29,33 @@ def checkpoint(spark: SparkSession, settings: Settings, name: str) -> str:
     return f"{base.rstrip('/')}/{settings.dataset(name).strip('/').replace('/', '_')}"
 
 
-def _start(stream: DataFrame, path: str, name: str, settings: Settings,
-           every: str | None) -> StreamingQuery:
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (stream.writeStream.queryName(name).format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint(stream.sparkSession, settings, name))
-            .trigger(**trigger).start(path))
+def _trigger(every: str | None) -> dict:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def _start(stream: DataFrame, name: str, settings: Settings, every: str | None,
+           kafka_servers: str | None = None) -> StreamingQuery:
+    """Append a stream to its topic: a directory, or Kafka where servers are given."""
+    where = checkpoint(stream.sparkSession, settings, name)
+    if kafka_servers is not None:
+        writer = to_json_rows(stream).writeStream.format("kafka").option(
+            "kafka.bootstrap.servers", kafka_servers).option("topic", settings.topic(name))
+    else:
+        writer = stream.writeStream.format("parquet").option("path", settings.dataset(name))
+    return (writer.queryName(name).outputMode("append").option("checkpointLocation", where)
+            .trigger(**_trigger(every)).start())
 
 
 def start_landing(spark: SparkSession, table: str, settings: Settings, *,
-                  every: str | None = None, **source) -> StreamingQuery:
-    """A landing; runs to the end of its input unless ``every`` sets an interval."""
+                  every: str | None = None, sink_servers: str | None = None,
+                  **source) -> StreamingQuery:
+    """A landing; runs to the end of its input unless ``every`` sets an interval.
+
+    ``source`` says how to read the change topic; ``sink_servers`` writes to Kafka.
+    """
     messages = read_changes(spark, table, settings, streaming=True, **source)
-    landing = SOURCES[table].landing
-    return _start(landed_rows(parse_changes(messages, table)), settings.dataset(landing),
-                  landing, settings, every)
+    return _start(landed_rows(parse_changes(messages, table)), SOURCES[table].landing, settings,
+                  every, sink_servers)
 
 
 def start_rejected(spark: SparkSession, table: str, settings: Settings, *,
@@ -45,8 +63,7 @@ def start_rejected(spark: SparkSession, table: str, settings: Settings, *,
     """The messages a landing cannot type, with the reason."""
     messages = read_changes(spark, table, settings, streaming=True, **source)
     name = f"{SOURCES[table].landing}.rejected"
-    return _start(rejected_rows(parse_changes(messages, table)), settings.dataset(name),
-                  name, settings, every)
+    return _start(rejected_rows(parse_changes(messages, table)), name, settings, every)
 
 
 def start_joined_feed(spark: SparkSession, name: str, settings: Settings, *,
@@ -54,8 +71,7 @@ def start_joined_feed(spark: SparkSession, name: str, settings: Settings, *,
     """Books with authors or services with carriers, as the feed of their dimension."""
     streams.use_state_store(spark)
     joined = _joined_feed(spark, name, settings)
-    return _start(joined, settings.dataset(f"{DIMENSIONS[name].topic}.joined"),
-                  f"{DIMENSIONS[name].topic}.joined", settings, every)
+    return _start(joined, f"{DIMENSIONS[name].topic}.joined", settings, every)
 
 
 def _joined_feed(spark: SparkSession, name: str, settings: Settings) -> DataFrame:
@@ -89,25 +105,34 @@ def dimension_changelog(spark: SparkSession, name: str, settings: Settings, *,
 
 
 def start_dimension(spark: SparkSession, name: str, settings: Settings, *,
-                    every: str | None = None, bounded: bool = False) -> StreamingQuery:
-    """The changelog topic of a dimension."""
+                    every: str | None = None, bounded: bool = False,
+                    sink_servers: str | None = None) -> StreamingQuery:
+    """The changelog topic of a dimension. ``bounded`` replays a finished input."""
     streams.use_state_store(spark)
-    topic = DIMENSIONS[name].topic
-    return _start(dimension_changelog(spark, name, settings, bounded=bounded),
-                  settings.dataset(topic), topic, settings, every)
+    log = dimension_changelog(spark, name, settings, bounded=bounded)
+    return _start(log, DIMENSIONS[name].topic, settings, every, sink_servers)
+
+
+def start_consolidated(spark: SparkSession, name: str, settings: Settings, *,
+                       every: str | None = None, bounded: bool = False) -> StreamingQuery:
+    """The changelog topic with open rows held until their acceptance window ends."""
+    streams.use_state_store(spark)
+    dimension = DIMENSIONS[name]
+    log = read_dimension(spark, name, settings, streaming=True)
+    held = streams.stream_consolidated(log, dimension.sk, settings=settings, bounded=bounded)
+    return _start(held, f"{dimension.topic}.consolidated", settings, every)
 
 
 def start_dimension_table(spark: SparkSession, name: str, settings: Settings, *,
                           every: str | None = None) -> StreamingQuery:
     """Merge the changelog topic into the dimension table, batch by batch."""
     dimension = DIMENSIONS[name]
-    log = read_rows(spark, settings.dataset(dimension.topic), dimension.schema, streaming=True)
+    log = read_dimension(spark, name, settings, streaming=True)
     path = settings.dataset(dimension.table)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (log.writeStream.queryName(dimension.table)
             .option("checkpointLocation", checkpoint(spark, settings, dimension.table))
             .foreachBatch(lambda rows, n: merge_versions(rows, path, dimension.sk, n))
-            .trigger(**trigger).start())
+            .trigger(**_trigger(every)).start())
 
 
 def dimension_table(spark: SparkSession, name: str, settings: Settings) -> DataFrame:
@@ -149,7 +174,6 @@ def start_shipment_event_fact(spark: SparkSession, settings: Settings, *,
 
 def _each_batch(stream: DataFrame, write, name: str, settings: Settings,
                 every: str | None) -> StreamingQuery:
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (stream.writeStream.queryName(name)
             .option("checkpointLocation", checkpoint(stream.sparkSession, settings, name))
-            .foreachBatch(write).trigger(**trigger).start())
+            .foreachBatch(write).trigger(**_trigger(every)).start())
