@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, packing, simhash
-from tidemark.llm.common import table
+from tidemark.llm import decontaminate, language_id, packing, simhash, toxicity
+from tidemark.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,9 +42,26 @@ def curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~held_out(F.col("doc_id"))))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
+        F.col("offending").alias("offending_sentences"))
+
+
+def language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_decontamination": decontamination,
+        "op4_toxic_sentences": toxic_sentences,
         "op5_simhash_dedup": near_dedup,
+        "op9_language_codes": language_codes,
         "op10_curve_packing": curve_packing,
     }
