@@ -7,9 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language_id, packing, simhash, toxicity
+from tidemark.llm import (
+    decontaminate,
+    language_id,
+    packing,
+    simhash,
+    surrogates,
+    toxicity,
+    weighted_fingerprint,
+)
 from tidemark.llm.common import held_out, table
 
+#: Stands for the secret that a deployment passes in.
+SURROGATE_SECRET = "public test data"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +53,15 @@ def curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def sampled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weighted_fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        weighted_fingerprint.to_hex(F.col("signature")).alias("fingerprint"),
+        weighted_fingerprint.to_hex(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited", "near_next")
+
+
 def toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(~held_out(F.col("doc_id"))))
@@ -50,6 +70,11 @@ def toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("offending").alias("offending_sentences"))
 
 
+def private_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, SURROGATE_SECRET)
+
+
 def language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
@@ -60,8 +85,10 @@ def language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_decontamination": decontamination,
+        "op3_weighted_fingerprints": sampled_fingerprints,
         "op4_toxic_sentences": toxic_sentences,
         "op5_simhash_dedup": near_dedup,
+        "op8_private_surrogates": private_surrogates,
         "op9_language_codes": language_codes,
         "op10_curve_packing": curve_packing,
     }
