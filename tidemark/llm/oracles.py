@@ -32,5 +32,75 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
 
+# The order of rows within a turn is that of the operator: role, then text.
+CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         role AS r, text AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant',
+                   '</s>[INST] ok [/INST]'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), ''
+                    ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)
+                  FILTER (role = 'assistant'), '') AS loss,
+         sum(length(role) + length(text) + length('<|turn|>') + length('<|end|>') + 1
+             + length(role) - length(replace(replace(role, chr(10), ''), '<', ''))
+             + length(replace(role, chr(92), '')) * -1 + length(role)
+             + length(text) - length(replace(text, '<', ''))
+             + length(text) - length(replace(text, chr(92), ''))) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM g
+"""
+
+
+REVISITS = r"""
+WITH c AS (
+  SELECT page_id AS n, md5(coalesce(html, '')) AS digest, length(html) AS size,
+         regexp_replace(trim(url), '#.*$', '') AS u FROM pages),
+k AS (
+  SELECT n, digest, size, u ~ '^(?i:https?)://.*' AS web, u,
+         regexp_replace(regexp_replace(lower(regexp_extract(u, '^(?i:https?)://([^/?]*)', 1)),
+                        '^(www|m)\.', ''), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(u, '^(?i:https?)://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS q
+  FROM c),
+p AS (
+  SELECT n, digest, size,
+         CASE WHEN web THEN host || path || CASE WHEN len(q) > 0
+              THEN '?' || array_to_string(q, '&') ELSE '' END ELSE u END AS url FROM k),
+r AS (
+  SELECT 4 * n + step AS record_id, url, 10 * n + delay AS ts, n,
+         CASE WHEN n % 3 = 0 THEN NULL WHEN n % 5 = 0 THEN '"0"' ELSE '"' || digest || '"' END AS tag
+  FROM p CROSS JOIN (VALUES (1, 5), (2, 40003)) AS s(step, delay)),
+j AS (
+  SELECT r.*, b.n AS base, b.digest, b.size,
+         row_number() OVER (PARTITION BY r.record_id ORDER BY b.n DESC NULLS LAST) AS k
+  FROM r LEFT JOIN p b ON r.url = b.url AND 10 * b.n <= r.ts),
+o AS (
+  SELECT *, CASE WHEN base IS NULL THEN 'orphan'
+                 WHEN CASE WHEN tag IS NULL THEN n = base ELSE tag = '"' || digest || '"' END
+                 THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM j WHERE k = 1)
+SELECT record_id, url, CAST(ts AS BIGINT) AS ts, 4 * base AS base_id, outcome,
+       CASE outcome WHEN 'resolved' THEN digest END AS digest,
+       CASE outcome WHEN 'resolved' THEN
+         concat_ws(chr(10), 'cache-control: public', 'content-length: ' || size, 'date: ' || ts,
+                   'etag: ' || coalesce('W/' || tag, '"' || digest || '"'),
+                   'expires: ' || (ts + 100), 'last-modified: ' || CASE WHEN n % 3 = 0 THEN n ELSE base END)
+       ELSE concat_ws(chr(10), 'content-length: 0', 'date: ' || ts,
+                      'etag: ' || CASE WHEN tag = '"0"' THEN tag ELSE 'W/' || tag END,
+                      'expires: ' || (ts + 100), CASE WHEN n % 3 = 0 THEN 'last-modified: ' || n END)
+       END AS headers
+FROM o
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op2_decontamination": DECONTAMINATION}
+    return {"op1_warc_revisits": REVISITS, "op2_decontamination": DECONTAMINATION,
+            "op6_chat_formatting": CHAT}
