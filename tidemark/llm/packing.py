@@ -7,22 +7,25 @@ token streams of all documents, laid end to end in that order, are cut into sequ
 
 Only keys and token counts are sorted: a range sort by Hilbert key, which splits a run of
 copies with one key over several partitions, and running sums per partition give every
-document its place. Texts are shuffled once, to meet that place, and cut into pieces.
+document its place. Texts are encoded once, into a table in the cluster's shared folder; their ids, not
+the texts, are shuffled to meet that place and are cut into pieces.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.config import scratch_dir
 from tidemark.llm.common import checkpointed
 
 SEQ_LEN = 2048
@@ -30,16 +33,31 @@ END_ID = 1
 DIMENSIONS, BITS = 3, 12
 #: Size of the hashed count vector that is projected.
 BUCKETS = 512
-#: Encoded chunks that a worker keeps at most, and the length of the longest of them.
-CACHED, CACHED_CHARS = 200_000, 40
+#: Encoded pieces that a worker keeps in each of two generations, and the longest of them.
+CACHED, CACHED_CHARS = 500_000, 40
 
 
-class ChunkEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and joins nothing across it, so the ids of a text are
-    those of its chunks between spaces and line ends, and chunks that return are encoded
-    once.
+def _below(limit: int, kind: str) -> str:
+    """A character class of the code points below ``limit`` in a Unicode category."""
+    return "".join(f"\\u{c:04x}" for c in range(limit) if unicodedata.category(chr(c))[0] == kind)
+
+
+# The tokenizer's own split into pieces, for texts below U+0250.
+_L, _N = _below(0x250, "L"), _below(0x250, "N")
+_PIECE = re.compile(
+    rf"[{_L}]+|[{_N}]|'(?:re|ve|ll|[stmd])|[^\t-\r \x85\xa0{_L}{_N}]+")
+_BEYOND = re.compile("[^\x00-\u024f]|<\\|")
+
+
+class WordEncoder:
+    """Token ids of texts, as little-endian bytes of ``width`` each.
+
+    The tokenizer joins nothing across the pieces it splits a text into, nor across white
+    space, so the ids of a text are those of its pieces, and pieces that return are encoded
+    once. Below U+0250, where all characters are in normal form and change case by
+    themselves, pieces are found here, in lower case; other texts, and those that may hold a
+    special token, are only split at spaces and line ends.
     """
 
     def __init__(self, path: str):
@@ -47,33 +65,44 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            chunks = (text or "").replace("\n", " ").split(" ")
-            known = self.known
-            new = [c for c in set(chunks) if c not in known]
-            if len(known) + len(new) > CACHED:
-                self.known = known = {}
-                new = list(set(chunks))
-            here = {}
-            for chunk, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                ids = np.array(coded.ids, "<u4").tobytes()
-                (known if len(chunk) <= CACHED_CHARS else here)[chunk] = ids
-            if here:
-                yield b"".join([known[c] if c in known else here[c] for c in chunks])
+        self.older: dict[str, bytes] = {}
+
+    def pieces(self, text: str) -> list[str]:
+        if _BEYOND.search(text):
+            return text.replace("\n", " ").split(" ")
+        return _PIECE.findall(text.lower())
+
+    def __call__(self, text: str | None) -> bytes:
+        pieces = self.pieces(text or "")
+        met = set(pieces)
+        if len(self.known) + len(met) > CACHED:
+            self.known, self.older = {}, self.known
+        known, older, long = self.known, self.older, {}
+        new = []
+        for piece in met:
+            if piece in known:
+                continue
+            if piece in older:
+                known[piece] = older[piece]
             else:
-                yield b"".join(map(known.__getitem__, chunks))
+                new.append(piece)
+        for piece, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            ids = np.array(coded.ids, f"<u{self.width}").tobytes()
+            (known if len(piece) <= CACHED_CHARS else long)[piece] = ids
+        if long:
+            return b"".join([known[p] if p in known else long[p] for p in pieces])
+        return b"".join(map(known.__getitem__, pieces))
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str) -> WordEncoder:
     """One encoder for each worker process and tokenizer."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
+        _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
 
 
@@ -83,7 +112,7 @@ def points(ids: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(ids), DIMENSIONS))
     for row, tokens in enumerate(ids):
         # Fixed value: Knuth's multiplicative constant spreads ids over the buckets.
-        buckets = (tokens * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+        buckets = (tokens.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
         counts = np.sqrt(np.bincount(buckets, minlength=BUCKETS))
         out[row] = counts @ axes / max(1.0, np.sqrt((counts ** 2).sum()))
     # The logistic curve is close to the normal distribution, so cells fill evenly.
@@ -156,35 +185,40 @@ def pack(docs: DataFrame, tokenizer: str, *, seq_len: int = SEQ_LEN, end_id: int
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = F.col("doc_id").isNull()
-    rows = rows.withColumn("h1", F.xxhash64("doc_id", "text", known)).withColumn(
-        "h2", F.xxhash64(F.lit(2), "text", "doc_id", known))
 
-    @F.pandas_udf("key long, n long")
-    def measure(texts: pd.Series) -> pd.DataFrame:
-        ids = [np.frombuffer(b, "<u4") for b in encoder(tokenizer)(list(texts))]
-        return pd.DataFrame({"key": hilbert_keys(points(ids)) if ids else [],
-                             "n": [len(i) + 1 for i in ids]}, dtype="int64")
+    @F.arrow_udf("key long, n long, width int, ids binary")
+    def encoded(texts: pa.Array) -> pa.Array:
+        encode = encoder(tokenizer)
+        ids = [encode(t.as_py()) for t in texts]
+        keys = hilbert_keys(points([np.frombuffer(i, f"<u{encode.width}") for i in ids]))
+        return pa.StructArray.from_arrays(
+            [pa.array(keys, pa.int64()),
+             pa.array([len(i) // encode.width + 1 for i in ids], pa.int64()),
+             pa.array([encode.width] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
+            ["key", "n", "width", "ids"])
 
     # A row is known by 128 bits of its id and text; rows equal in both are counted.
-    narrow = (rows.select("h1", "h2", measure("text").alias("m"))
-              .groupBy("h1", "h2").agg(F.first("m.key").alias("key"), F.first("m.n").alias("n"),
-                                       F.count(F.lit(1)).alias("copies")))
+    table = f"{scratch_dir(docs.sparkSession, 'encoded')}/documents"
+    rows.select("doc_id", F.xxhash64("doc_id", "text", known).alias("h1"),
+                F.xxhash64(F.lit(2), "text", "doc_id", known).alias("h2"),
+                encoded("text").alias("e")).select("doc_id", "h1", "h2", "e.*").write.parquet(table)
+    rows = docs.sparkSession.read.parquet(table)
+    narrow = rows.groupBy("h1", "h2").agg(F.first("key").alias("key"), F.first("n").alias("n"),
+                                          F.count(F.lit(1)).alias("copies"))
     places = _placed(narrow)
     copy = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("h1"))
     met = rows.withColumn("copy", copy).join(places, ["h1", "h2"]).select(
-        "doc_id", "text", "copy", "at")
+        "doc_id", "width", "ids", "copy", "at")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4").tobytes()
         names = ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         kinds = [batch_id, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             columns = [[] for _ in names]
             size = 0
-            texts = (t.as_py() for t in batch.column("text"))
-            for doc, copy, at, ids in zip(batch.column("doc_id").to_pylist(),
-                                          batch.column("copy").to_pylist(),
-                                          batch.column("at").to_pylist(), encode(texts)):
+            for doc, width, ids, copy, at in zip(*(c.to_pylist() for c in batch.columns)):
+                ids = np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()
                 ids += end
                 n = len(ids) // 4
                 at += (copy - 1) * n
