@@ -173,7 +173,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = checkpointed(edges.where("a != b").select(
         F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
-    label = None
+    nodes = edges.select(F.explode(F.array("hi", "lo")).alias("node")).distinct()
+    label = checkpointed(nodes.withColumn("root", F.col("node")))
     while not edges.isEmpty():
         hooks = checkpointed(edges.groupBy("hi").agg(F.min("lo").alias("up"))
                              .withColumnRenamed("hi", "node"))
@@ -184,21 +185,14 @@ def components(edges: DataFrame) -> DataFrame:
             hooks = jumped.drop("moved")
             if jumped.where("moved").isEmpty():
                 break
-        roots = hooks.select(F.col("up").alias("node"), F.col("up")).distinct()
-        if label is None:
-            label = hooks.unionByName(roots.join(hooks, "node", "left_anti"))
-            label = label.select("node", F.col("up").alias("root"))
-        else:
-            label = label.join(hooks.withColumnRenamed("node", "root"), "root", "left").select(
-                "node", F.coalesce("up", "root").alias("root"))
-        label = checkpointed(label)
+        label = checkpointed(label.join(
+            hooks.withColumnRenamed("node", "root"), "root", "left").select(
+            "node", F.coalesce("up", "root").alias("root")))
         for end in ("hi", "lo"):
             edges = edges.join(hooks.withColumnRenamed("node", end), end, "left").withColumn(
                 end, F.coalesce("up", end)).drop("up")
         edges = checkpointed(edges.where("hi != lo").select(
             F.greatest("hi", "lo").alias("hi"), F.least("hi", "lo").alias("lo")).distinct())
-    if label is None:
-        return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return label
 
 
