@@ -54,3 +54,9 @@ def test_fact_reads_only_its_columns(spark, sf_dir):
 def test_no_pairs_of_all_rows(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_delivery_counts_each_shipment_once(spark, sf_dir):
+    counted = QUERIES["delivery_time_by_service"](spark, sf_dir).agg({"shipments": "sum"}).first()[0]
+    facts = QUERIES["fact_shipment_events"](spark, sf_dir)
+    assert counted == facts.select("shipmentId").distinct().count()

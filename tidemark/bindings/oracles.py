@@ -286,17 +286,20 @@ GROUP BY {columns}"""
 
 
 DELIVERY = f"""
-WITH s AS (
-  SELECT "carrierServiceSk", "shipmentId",
-         max("actualDeliveryDate"::DATE - "shippedDate"::DATE) AS days,
+WITH f AS MATERIALIZED ({F_SHIPMENT_EVENTS}), v AS MATERIALIZED ({D_SERVICES}),
+s AS (
+  SELECT "shipmentId", max("actualDeliveryDate"::DATE - "shippedDate"::DATE) AS days,
          max("actualDeliveryDate"::DATE - "expectedDeliveryDate"::DATE) AS delay,
          max("shippingCost") AS cost
-  FROM ({F_SHIPMENT_EVENTS}) GROUP BY ALL)
-SELECT v."serviceName", v."carrierName", count(*) AS shipments,
+  FROM f SEMI JOIN v USING ("carrierServiceSk") GROUP BY "shipmentId"),
+n AS (
+  SELECT DISTINCT ON ("shipmentId") "shipmentId", "serviceName", "carrierName"
+  FROM f JOIN v USING ("carrierServiceSk")
+  ORDER BY "shipmentId", v."validFrom" DESC, "carrierServiceSk" DESC)
+SELECT "serviceName", "carrierName", count(*) AS shipments,
        sum((delay > 0)::INT)::BIGINT AS late,
        round(sum(days) / count(days), 4) AS avg_days, round(sum(cost), 2) AS cost
-FROM s JOIN ({D_SERVICES}) v USING ("carrierServiceSk")
-GROUP BY v."serviceName", v."carrierName\""""
+FROM s JOIN n USING ("shipmentId") GROUP BY "serviceName", "carrierName\""""
 
 
 def _constraints() -> str:

@@ -25,19 +25,21 @@ def sales_by(facts: DataFrame, dimension: DataFrame, sk: str, columns: Sequence[
 def delivery_by_service(facts: DataFrame, services: DataFrame) -> DataFrame:
     """Delivery time, delay and cost of shipments per service and carrier.
 
-    Events of one shipment repeat its dates, so shipments are counted once.
+    Events of one shipment repeat its dates and may have seen several versions of its
+    service, so each shipment is counted once, under the newest version its events saw.
     """
     days = F.date_diff("actualDeliveryDate", "shippedDate")
     delay = F.date_diff("actualDeliveryDate", "expectedDeliveryDate")
-    shipments = facts.groupBy("carrierServiceSk", "shipmentId").agg(
+    seen = facts.groupBy("carrierServiceSk", "shipmentId").agg(
         F.max(days).alias("days"), F.max(delay).alias("delay"),
         F.max("shippingCost").alias("cost"))
-    per_version = shipments.groupBy("carrierServiceSk").agg(
-        F.count("*").alias("shipments"), F.count("days").alias("delivered"),
-        F.sum("days").alias("days"), F.count_if(F.col("delay") > 0).alias("late"),
-        F.sum("cost").alias("cost"))
-    named = services.select("carrierServiceSk", "serviceName", "carrierName")
-    return per_version.join(named, "carrierServiceSk").groupBy("serviceName", "carrierName").agg(
-        F.sum("shipments").alias("shipments"), F.sum("late").alias("late"),
-        F.round(F.try_divide(F.sum("days"), F.sum("delivered")), 4).alias("avg_days"),
+    named = services.select(
+        "carrierServiceSk", F.struct("validFrom", "carrierServiceSk").alias("version"),
+        F.struct("serviceName", "carrierName").alias("service"))
+    shipments = seen.join(named, "carrierServiceSk").groupBy("shipmentId").agg(
+        F.max_by("service", "version").alias("service"), F.max("days").alias("days"),
+        F.max("delay").alias("delay"), F.max("cost").alias("cost"))
+    return shipments.groupBy("service.serviceName", "service.carrierName").agg(
+        F.count("*").alias("shipments"), F.count_if(F.col("delay") > 0).alias("late"),
+        F.round(F.try_divide(F.sum("days"), F.count("days")), 4).alias("avg_days"),
         F.round(F.sum("cost"), 2).alias("cost"))
