@@ -60,3 +60,15 @@ def test_delivery_counts_each_shipment_once(spark, sf_dir):
     counted = QUERIES["delivery_time_by_service"](spark, sf_dir).agg({"shipments": "sum"}).first()[0]
     facts = QUERIES["fact_shipment_events"](spark, sf_dir)
     assert counted == facts.select("shipmentId").distinct().count()
+
+
+def test_stream_reads_files_and_directories(spark, sf_dir, tmp_path):
+    from tidemark.bindings.feeds import stream_table, table
+
+    table(spark, sf_dir, "nation").repartition(3).write.parquet(f"{tmp_path}/nation.parquet")
+    for k, place in enumerate((sf_dir, str(tmp_path))):
+        query = stream_table(spark, place, "nation").writeStream.format("memory").queryName(
+            f"nations{k}").start()
+        query.processAllAvailable()
+        query.stop()
+        assert spark.table(f"nations{k}").count() == table(spark, place, "nation").count()

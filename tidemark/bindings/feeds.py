@@ -33,9 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a stream of files."""
+    """The same table as a stream of files, whether it is one file or a directory of parts.
+
+    A stream takes a single file only where a pattern names it.
+    """
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
 def epoch_ms(column: str) -> Column:
