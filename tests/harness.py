@@ -50,6 +50,9 @@ class _Map:
     def updateValue(self, key, value):
         self.rows[key] = tuple(value)
 
+    def removeKey(self, key):
+        del self.rows[key]
+
     def iterator(self):
         return iter(list(self.rows.items()))
 

@@ -9,7 +9,7 @@ from tidemark.config import END_OF_TIME as END
 from tidemark.config import Settings, scratch_dir
 from tidemark.functions.cdc import to_message
 from tidemark.operators import quality
-from tidemark.operators.scd2 import as_changelog, current
+from tidemark.operators.scd2 import as_changelog, consolidate, current
 from tidemark.operators.upsert import new_rows, upsert_versions
 from tidemark.plans import dimensions, facts, rebuild
 from tidemark.plans.dimensions import to_warehouse
@@ -215,3 +215,20 @@ def test_current_and_changelog_agree(spark, sf_dir):
     log = as_changelog(versions)
     assert log.count() == 2 * versions.count() - current(versions).count()
     assert log.where(F.col("validTo") == END).count() == versions.count()
+
+
+def test_facts_count_what_became_of_an_item(spark):
+    changes = spark.createDataFrame(
+        [(1, 10, 1, "c", 5), (1, 10, 2, "u", 6), (1, 30, 3, "u", 7), (1, 30, 3, "u", 7),
+         (2, 10, 4, "c", 1), (2, 20, 5, "d", 1), (2, 20, 5, "d", 1),
+         (3, 15, 6, "c", None), (None, 1, 7, "c", 1)],
+        "id INT, ts_ms BIGINT, lsn BIGINT, op STRING, quantity INT")
+    rows = facts.live_rows(changes, "id").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, 10, 3, "u", 7), (3, 15, 6, "c", None)]
+    assert facts.live_rows(changes.limit(0), "id").count() == 0
+
+
+def test_consolidation_is_by_surrogate_key(spark):
+    log = spark.createDataFrame([("k", "a", 1, END), ("k", "b", 1, 9)],
+                                "sk STRING, x STRING, validFrom BIGINT, validTo BIGINT")
+    assert [tuple(r) for r in consolidate(log, "sk").collect()] == [("k", "b", 1, 9)]

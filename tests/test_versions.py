@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.config import END_OF_TIME as END
 from tidemark.operators import scd2
-from tidemark.streaming.processors import Consolidator, VersionBuilder
+from tidemark.streaming.processors import (
+    Consolidator,
+    LatestStateJoin,
+    ParentChanges,
+    VersionBuilder,
+)
 
 SCHEMA = "id INT, ts_ms BIGINT, op STRING, status STRING"
 
@@ -258,3 +263,31 @@ def test_payloads_survive_the_stream_format(spark):
     assert back.collect() == df.collect()
     assert json.loads(df.select(_packed(df.columns)).first()[0])["c"] is None
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_redelivered_change_keeps_the_version():
+    h = Harness(VersionBuilder(0))
+    columns = ["ts", "tie", "op", "payload"]
+    for op, payload in (("u", "a"), ("d", "b")):
+        ts = {"u": 1000, "d": 2000}[op]
+        for _ in range(2):
+            h.send((ts, 1, op, payload), columns=columns)
+            h.clock(ts)
+    assert h.output == [("1", "a", 1000, END, False), ("1", "a", 1000, 1999, False),
+                        ("1", "b", 2000, END, False)]
+
+
+def test_moved_child_leaves_its_parent():
+    moves = Harness(ParentChanges(), key="7")
+    columns = ["ts", "tie", "parent", "op", "payload"]
+    moves.send((10, 1, "A", "c", "x"), (30, 3, "C", "u", "z"), columns=columns)
+    moves.send((20, 2, "B", "u", "y"), (30, 3, "C", "u", "z"), columns=columns)
+    told = [(r[0], r[2], r[4]) for r in moves.output]
+    assert told == [("A", 10, "c"), ("C", 30, "u"), ("A", 30, "left"),
+                    ("B", 20, "u"), ("B", 30, "left"), ("C", 30, "u")]
+    join = Harness(LatestStateJoin(), key="A")
+    rows = ["ts", "tie", "id", "op", "payload"]
+    join.send((5, 0, None, "c", "p0"), (10, 1, "7", "c", "x"), columns=rows)
+    join.send((30, 3, "7", "left", None), (30, 0, None, "u", "p1"), (40, 0, None, "u", "p2"),
+              columns=rows)
+    assert [(r[0], r[1], r[3]) for r in join.output] == [("x", "p0", 10)]

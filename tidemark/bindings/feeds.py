@@ -1,7 +1,9 @@
 """Change feeds of the engine's entities, derived from the given tables.
 
 Each feed is a pure function of one table's rows: a row becomes one change per
-version, with the columns of the entity's landing topic.
+version, with the columns of the entity's landing topic. The feeds hold what real ones
+do: updates and deletes, changes at one instant, rows delivered twice, children that
+move to another parent, NULL and negative decimals.
 """
 
 from __future__ import annotations
@@ -25,7 +27,23 @@ START = 788_832_000_000
 
 # Line numbers repeat within an order, so the part is added.
 def line_id() -> Column:
-    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")
+    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100_000_000 + F.col("l_partkey")
+
+
+def line_changes(read: Callable) -> tuple[DataFrame, Column, Column, Column]:
+    """Lines as changes, with their time, order in the log, and operation.
+
+    A line is created, one in four is corrected, and one in nine corrected and deleted; one in
+    five corrections falls on the instant of the creation, and one line in ten has its last
+    change delivered twice.
+    """
+    mark = F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey")
+    count = F.when(mark % 9 == 0, 3).when(mark % 4 == 0, 2).otherwise(1)
+    df = versions(read("lineitem"), count, again=mark % 10 == 3)
+    step = F.when(mark % 5 == 0, F.greatest(F.col("n") - 1, F.lit(0))).otherwise(F.col("n"))
+    order = F.col("n") * 1000 + F.col("l_suppkey") % 1000
+    op = F.when(F.col("n") == 0, "c").when(F.col("n") == 1, "u").otherwise("d")
+    return df, epoch_ms("l_shipdate") + step * 2 * DAY, order, op
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +63,13 @@ def epoch_ms(column: str) -> Column:
     return F.unix_millis(F.col(column).cast("timestamp"))
 
 
-def versions(df: DataFrame, count: Column) -> DataFrame:
-    """One row per version number ``n`` from 0 to ``count - 1``."""
-    return df.withColumn("n", F.explode(F.sequence(F.lit(0).cast("bigint"), (count - 1).cast("bigint"))))
+def versions(df: DataFrame, count: Column, again: Column | None = None) -> DataFrame:
+    """One row per version number ``n`` from 0 to ``count - 1``; the last twice where ``again``."""
+    last = (count - 1).cast("bigint")
+    numbers = F.sequence(F.lit(0).cast("bigint"), last)
+    if again is not None:
+        numbers = F.when(again, F.concat(numbers, F.array(last))).otherwise(numbers)
+    return df.withColumn("n", F.explode(numbers))
 
 
 def pick(*values: str) -> Column:
@@ -76,7 +98,8 @@ def _books(read):
         "book_id": "p_partkey",
         "title": "p_name",
         "author_id": F.col("p_partkey") % 25,
-        "isbn": F.lpad(F.col("p_partkey").cast("string"), 17, F.lit("9")),
+        "isbn": F.concat(F.lit("978"), F.lpad(F.col("p_partkey").cast("string"), 10, F.lit("0")),
+                         F.lit(" (print)")),
         "price": F.col("p_retailprice"),
         "published_date": F.date_add(
             F.lit("1960-01-01").cast("date"), (F.col("p_partkey") % 20000).cast("int")),
@@ -104,26 +127,34 @@ def _customers(read):
 
 
 def _orders(read):
-    df = versions(read("orders"), F.col("o_orderkey") % 3 + 1)
+    count = F.col("o_orderkey") % 3 + 1
+    df = versions(read("orders"), count, again=F.col("o_orderkey") % 13 == 5)
     ts = epoch_ms("o_orderdate") + F.col("n") * 30 * DAY
+    deleted = (F.col("n") == 2) & (F.col("o_orderkey") % 7 == 1)
     return df, ts, F.col("o_orderkey") * 4 + F.col("n"), {
         "order_id": "o_orderkey",
         "customer_id": "o_custkey",
         "order_date": F.col("o_orderdate").cast("timestamp"),
         "status": pick("pending", "shipped", "delivered"),
         "shipping_method": "o_orderpriority",
+        "op": F.when(F.col("n") == 0, "c").when(deleted, "d").otherwise("u"),
     }
 
 
 def _order_items(read):
-    df = read("lineitem").withColumn("n", F.lit(0).cast("bigint"))
-    return df, epoch_ms("l_shipdate"), F.col("l_orderkey") * 8 + F.col("l_linenumber"), {
+    df, ts, order, op = line_changes(read)
+    lsn = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 4000 + order
+    cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
+    part = F.col("l_partkey")
+    return df, ts, lsn, {
         "order_item_id": line_id(),
         "order_id": "l_orderkey",
         "book_id": "l_partkey",
-        "quantity": F.col("l_quantity").cast("int"),
-        "price_at_purchase": F.floor(F.col("l_extendedprice") / F.col("l_quantity")),
-        "discount": F.col("l_discount") + F.lit(0.0),
+        "quantity": (F.col("l_quantity") + F.col("n")).cast("int"),
+        "price_at_purchase": F.when(part % 31 == 0, -cents).otherwise(cents),
+        "discount": F.when(part % 19 != 0, F.when(part % 23 == 0, -F.col("l_discount"))
+                           .otherwise(F.col("l_discount"))),
+        "op": op, "order": order,
     }
 
 
@@ -134,6 +165,7 @@ def _carriers(read):
         "name": F.concat(F.lit("Carrier "), "n_name"),
         "contact_email": text("desk%d@carrier%d.example", "n", "n_nationkey"),
         "phone": text("+1 555 0100 %d", "n_nationkey"),
+        "op": F.when(F.col("n") == 0, "c").when(F.col("n_nationkey") % 5 == 3, "d").otherwise("u"),
     }
 
 
@@ -142,7 +174,7 @@ def _shipping_services(read):
     ts = START + F.col("n") * 3 * YEAR + F.col("s_suppkey") % 1000
     return df, ts, F.col("s_suppkey") * 4 + F.col("n"), {
         "service_id": "s_suppkey",
-        "carrier_id": "s_nationkey",
+        "carrier_id": (F.col("s_nationkey") + F.col("n") * (F.col("s_suppkey") % 3)) % 25,
         "service_name": "s_name",
         "estimated_days": F.col("s_suppkey") % 10 + 1 + F.col("n"),
         "cost_estimate": F.col("s_acctbal"),
@@ -169,12 +201,14 @@ def _shipments(read):
 
 
 def _shipment_events(read):
-    df = read("lineitem").withColumn("n", F.lit(0).cast("bigint"))
-    return df, epoch_ms("l_shipdate"), F.col("l_orderkey") * 8 + F.col("l_linenumber"), {
+    df, ts, order, op = line_changes(read)
+    lsn = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 4000 + order
+    return df, ts, lsn, {
         "event_id": line_id(),
         "shipment_id": "l_orderkey",
         "status": F.when(F.col("l_linestatus") == "F", "delivered").otherwise("in_transit"),
-        "location": F.when(F.col("l_returnflag") != "N", text("HUB_%d", "l_suppkey")),
+        "location": F.when(F.col("l_returnflag") != "N", text("HUB_%d_%d", "l_suppkey", "n")),
+        "op": op, "order": order,
     }
 
 
@@ -195,8 +229,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str, *, whole_text: bool = Fa
     reader = stream_table if streaming else table
     df, ts, lsn, columns = _FEEDS[name](lambda source: reader(spark, sf_dir, source))
     meta = {
-        "op": F.when(F.col("n") == 0, "c").otherwise("u"),
-        "emitted_ts_ms": ts + 5,
+        "op": columns.get("op", F.when(F.col("n") == 0, "c").otherwise("u")),
+        "emitted_ts_ms": ts + 5 + columns.get("order", F.lit(0)),
         "ts_ms": ts,
         "connector_version": F.lit("3.0.0"),
         "transaction_id": lsn.cast("string"),

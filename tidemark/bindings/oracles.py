@@ -7,6 +7,23 @@ DAY = 86_400_000
 YEAR = 365 * DAY
 START = 788_832_000_000
 
+_MARK = "(l_orderkey + l_linenumber + l_partkey)"
+_LINE_COUNT = f"CASE WHEN {_MARK} % 9 = 0 THEN 3 WHEN {_MARK} % 4 = 0 THEN 2 ELSE 1 END"
+_LINE_TIME = (f"epoch_ms(l_shipdate) + (CASE WHEN {_MARK} % 5 = 0 THEN greatest(n - 1, 0) "
+              f"ELSE n END) * {2 * DAY}")
+_LINE_ID = "(l_orderkey * 8 + l_linenumber) * 100000000 + l_partkey"
+_LINE_ORDER = "n * 1000 + l_suppkey % 1000"
+_LINE_LSN = f"((l_orderkey * 8 + l_linenumber) * 4000 + {_LINE_ORDER})::BIGINT"
+_CENTS = "floor(l_extendedprice / l_quantity * 100) / 100"
+# Last change delivered twice; operations other than create, then updates; order within an instant.
+_AGAIN = {"orders": "o_orderkey % 13 = 5", "order_items": f"{_MARK} % 10 = 3",
+          "shipment_events": f"{_MARK} % 10 = 3"}
+_LINE_OP = "['c', 'u', 'd'][n + 1]"
+_OPS = {"orders": "CASE WHEN n = 0 THEN 'c' WHEN n = 2 AND o_orderkey % 7 = 1 THEN 'd' ELSE 'u' END",
+        "carriers": "CASE WHEN n = 0 THEN 'c' WHEN n_nationkey % 5 = 3 THEN 'd' ELSE 'u' END",
+        "order_items": _LINE_OP, "shipment_events": _LINE_OP}
+_ORDERS = {"order_items": _LINE_ORDER, "shipment_events": _LINE_ORDER}
+
 # Feed columns as SQL; ``n`` is the version number.
 _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
     "authors": (
@@ -17,7 +34,7 @@ _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
     "books": (
         "part", "p_partkey % 3 + 1", f"{START} + n * {YEAR} + p_partkey % 1000", {
             "book_id": "p_partkey", "title": "left(p_name, 50)", "author_id": "p_partkey % 25",
-            "isbn": "left(lpad(p_partkey::VARCHAR, 17, '9'), 13)",
+            "isbn": "'978' || lpad(p_partkey::VARCHAR, 10, '0')",
             "price": "p_retailprice::DECIMAL(10,2)::DOUBLE",
             "published_date": "DATE '1960-01-01' + (p_partkey % 20000)::INT",
             "description": "left(p_brand || ' ' || p_type, 500)", "genre": "left(p_type, 50)",
@@ -40,12 +57,13 @@ _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
             "shipping_method": "left(o_orderpriority, 20)",
             "lsn": "(o_orderkey * 4 + n)::BIGINT"}),
     "order_items": (
-        "lineitem", "1", "epoch_ms(l_shipdate)", {
-            "order_item_id": "(l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey", "order_id": "l_orderkey",
-            "book_id": "l_partkey", "quantity": "l_quantity::INT",
-            "price_at_purchase": "floor(l_extendedprice / l_quantity)",
-            "discount": "(l_discount + 0.0)::DECIMAL(10,2)::DOUBLE",
-            "lsn": "(l_orderkey * 8 + l_linenumber)::BIGINT"}),
+        "lineitem", _LINE_COUNT, _LINE_TIME, {
+            "order_item_id": _LINE_ID, "order_id": "l_orderkey",
+            "book_id": "l_partkey", "quantity": "(l_quantity + n)::INT",
+            "price_at_purchase": f"CASE WHEN l_partkey % 31 = 0 THEN -({_CENTS}) ELSE {_CENTS} END",
+            "discount": "(CASE WHEN l_partkey % 19 = 0 THEN NULL WHEN l_partkey % 23 = 0 "
+                        "THEN -l_discount ELSE l_discount END)::DECIMAL(10,2)::DOUBLE",
+            "lsn": _LINE_LSN}),
     "carriers": (
         "nation", "n_nationkey % 2 + 1", f"{START} + n * {4 * YEAR}", {
             "carrier_id": "n_nationkey::BIGINT", "name": "'Carrier ' || n_name",
@@ -54,7 +72,7 @@ _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
             "lsn": "(n_nationkey * 4 + n)::BIGINT"}),
     "shipping_services": (
         "supplier", "s_suppkey % 2 + 1", f"{START} + n * {3 * YEAR} + s_suppkey % 1000", {
-            "service_id": "s_suppkey", "carrier_id": "s_nationkey::BIGINT",
+            "service_id": "s_suppkey", "carrier_id": "((s_nationkey + n * (s_suppkey % 3)) % 25)::BIGINT",
             "service_name": "s_name", "estimated_days": "(s_suppkey % 10 + 1 + n)::INT",
             "cost_estimate": "s_acctbal::DECIMAL(10,2)::DOUBLE",
             "lsn": "(s_suppkey * 4 + n)::BIGINT"}),
@@ -72,11 +90,11 @@ _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
             "shipping_cost": "(floor(o_totalprice) / 100)::DECIMAL(10,2)::DOUBLE",
             "lsn": "(o_orderkey * 4 + n)::BIGINT"}),
     "shipment_events": (
-        "lineitem", "1", "epoch_ms(l_shipdate)", {
-            "event_id": "(l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey", "shipment_id": "l_orderkey",
+        "lineitem", _LINE_COUNT, _LINE_TIME, {
+            "event_id": _LINE_ID, "shipment_id": "l_orderkey",
             "status": "CASE WHEN l_linestatus = 'F' THEN 'delivered' ELSE 'in_transit' END",
-            "location": "CASE WHEN l_returnflag <> 'N' THEN 'HUB_' || l_suppkey END",
-            "lsn": "(l_orderkey * 8 + l_linenumber)::BIGINT"}),
+            "location": "CASE WHEN l_returnflag <> 'N' THEN 'HUB_' || l_suppkey || '_' || n END",
+            "lsn": _LINE_LSN}),
 }
 _MYSQL = {"carriers", "shipping_services", "shipments", "shipment_events"}
 _DATES = {"published_date", "shipped_date", "expected_delivery_date", "actual_delivery_date"}
@@ -86,9 +104,29 @@ _TIMES = {"order_date", "created_at"}
 def feed(name: str) -> str:
     table, count, ts, columns = _SQL_FEEDS[name]
     listed = ", ".join(f"{sql} AS {c}" for c, sql in columns.items())
-    return (f"SELECT {listed}, CASE WHEN n = 0 THEN 'c' ELSE 'u' END AS op, "
-            f"({ts})::BIGINT AS ts_ms FROM (SELECT *, unnest(range(0, ({count})::BIGINT)) AS n "
-            f"FROM {table})")
+    op = _OPS.get(name, "CASE WHEN n = 0 THEN 'c' ELSE 'u' END")
+    numbers = f"range(0, ({count})::BIGINT)"
+    if name in _AGAIN:
+        numbers = (f"CASE WHEN {_AGAIN[name]} THEN list_append({numbers}, ({count})::BIGINT - 1) "
+                   f"ELSE {numbers} END")
+    return (f"SELECT {listed}, {op} AS op, ({ts})::BIGINT AS ts_ms, "
+            f"({ts})::BIGINT + 5 + {_ORDERS.get(name, '0')} AS emitted_ts_ms "
+            f"FROM (SELECT *, unnest({numbers}) AS n FROM {table})")
+
+
+def distinct_changes(name: str, key: str) -> str:
+    """The last change of each key and instant."""
+    return (f"SELECT * FROM ({feed(name)}) QUALIFY row_number() OVER "
+            f"(PARTITION BY {key}, ts_ms ORDER BY emitted_ts_ms DESC) = 1")
+
+
+def live(name: str, key: str) -> str:
+    """The last change of each key that was not deleted, at the time of its first change."""
+    return f"""
+SELECT * EXCLUDE (created) REPLACE (created AS ts_ms) FROM (
+  SELECT *, min(ts_ms) OVER (PARTITION BY {key}) AS created FROM ({feed(name)})
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY ts_ms DESC, emitted_ts_ms DESC) = 1)
+WHERE op <> 'd'"""
 
 
 def _text(column: str) -> str:
@@ -102,7 +140,7 @@ def _text(column: str) -> str:
 def landing(name: str) -> str:
     columns = [c for c in _SQL_FEEDS[name][3] if c != "lsn"]
     tail = "" if name in _MYSQL else ", lsn"
-    return (f"SELECT {', '.join(_text(c) for c in columns)}, op, ts_ms + 5 AS emitted_ts_ms, "
+    return (f"SELECT {', '.join(_text(c) for c in columns)}, op, emitted_ts_ms::BIGINT AS emitted_ts_ms, "
             f"ts_ms, '3.0.0' AS connector_version, lsn::VARCHAR AS transaction_id{tail} "
             f"FROM ({feed(name)})")
 
@@ -163,32 +201,36 @@ def versions(source: str, entity: str, sk: str, key: str, columns: dict[str, str
     listed = ", ".join(f'{sql} AS "{name}"' for name, sql in columns.items())
     return f"""
 SELECT md5(concat_ws('#', '{entity}', {key}, ts_ms)) AS "{sk}", {listed},
-       ts_ms AS "validFrom", coalesce({ends('', key)} - 1, {END}) AS "validTo"
+       ts_ms AS "validFrom", CASE WHEN op = 'd' THEN {END}
+       ELSE coalesce({ends('', key)} - 1, {END}) END AS "validTo"
 FROM ({source})"""
 
 
 def latest_state_join(child: str, child_key: str, parent: str, on: str, listed: str) -> str:
     return f"""
 SELECT {listed}, c.op, greatest(c.ts_ms, p.ts_ms) AS ts_ms
-FROM (SELECT *, coalesce({ends('', child_key)}, {END}) AS until FROM ({child})) c
-JOIN (SELECT *, coalesce({ends('', on)}, {END}) AS until FROM ({parent})) p
+FROM (SELECT *, CASE WHEN op = 'd' THEN ts_ms + 1
+             ELSE coalesce({ends('', child_key)}, {END}) END AS until
+      FROM ({distinct_changes(child, child_key)})) c
+JOIN (SELECT *, coalesce({ends('', on)}, {END}) AS until
+      FROM ({distinct_changes(parent, on)}) WHERE op <> 'd') p
   ON c.{on} = p.{on} AND p.ts_ms < c.until AND c.ts_ms < p.until"""
 
 
 BOOKS_AUTHORS = latest_state_join(
-    feed("books"), "book_id", feed("authors"), "author_id",
+    "books", "book_id", "authors", "author_id",
     "c.book_id, c.author_id, c.title, c.isbn, c.published_date, c.genre, c.lsn, "
     "p.first_name AS author_first_name, p.last_name AS author_last_name, "
     "p.country AS author_country")
 SERVICES_CARRIERS = latest_state_join(
-    feed("shipping_services"), "service_id", feed("carriers"), "carrier_id",
+    "shipping_services", "service_id", "carriers", "carrier_id",
     "c.service_id, c.carrier_id, c.service_name, c.estimated_days, c.cost_estimate, "
     "p.name AS carrier_name, p.contact_email AS carrier_contact_email, p.phone AS carrier_phone")
 
-D_ORDERS = versions(feed("orders"), "d_orders", "orderSk", "order_id", {
+D_ORDERS = versions(distinct_changes("orders", "order_id"), "d_orders", "orderSk", "order_id", {
     "orderId": "order_id", "customerId": "customer_id", "status": "status",
     "shippingMethod": "shipping_method", "orderDate": "order_date::DATE::VARCHAR"})
-D_CUSTOMERS = versions(feed("customers"), "d_customers", "customerSk", "customer_id", {
+D_CUSTOMERS = versions(distinct_changes("customers", "customer_id"), "d_customers", "customerSk", "customer_id", {
     "customerId": "customer_id", "email": "email", "phone": "phone",
     "streetAddress": "street_address", "city": "city", "state": "state",
     "postalCode": "postal_code", "country": "country", "firstName": "first_name",
@@ -226,7 +268,7 @@ def valid(fact: str, alias: str) -> str:
 
 F_ORDER_ITEMS = f"""
 WITH with_order AS MATERIALIZED (
-  SELECT i.*, o."orderSk", o."customerId" FROM ({_ITEMS}) i
+  SELECT i.*, o."orderSk", o."customerId" FROM ({live('order_items', 'order_item_id')}) i
   JOIN ({D_ORDERS}) o ON i.order_id = o."orderId" AND {valid('i', 'o')}),
 with_customer AS MATERIALIZED (
   SELECT i.*, c."customerSk" FROM with_order i
@@ -238,7 +280,7 @@ SELECT {_ITEM_SK} AS "orderItemSk", "orderSk", b."bookSk", "customerSk",
 FROM with_customer i JOIN ({D_BOOKS}) b ON i.book_id = b."bookId" AND {valid('i', 'b')}"""
 
 EVENTS_JOINED = latest_state_join(
-    feed("shipment_events"), "event_id", feed("shipments"), "shipment_id",
+    "shipment_events", "event_id", "shipments", "shipment_id",
     "c.event_id, c.shipment_id, c.status, c.location, p.order_id, p.service_id, "
     "p.shipping_status, p.actual_delivery_date")
 _SHIPMENTS_LATEST = f"""
@@ -249,7 +291,7 @@ SELECT e.shipment_id, e.event_id, e.status, e.location, e.ts_ms, s.order_id, s.s
        s.tracking_number, s.shipping_status, s.shipped_date::VARCHAR AS shipped_date,
        s.expected_delivery_date::VARCHAR AS expected_delivery_date,
        s.actual_delivery_date::VARCHAR AS actual_delivery_date, s.shipping_cost
-FROM ({feed('shipment_events')}) e JOIN ({_SHIPMENTS_LATEST}) s USING (shipment_id)"""
+FROM ({live('shipment_events', 'event_id')}) e JOIN ({_SHIPMENTS_LATEST}) s USING (shipment_id)"""
 F_SHIPMENT_EVENTS = f"""
 WITH latest AS MATERIALIZED ({EVENTS_LATEST}),
 with_order AS MATERIALIZED (
@@ -265,9 +307,9 @@ FROM with_order e
 JOIN ({D_SERVICES}) v ON e.service_id = v."serviceId" AND {valid('e', 'v')}"""
 
 INSERT_IGNORE = f"""
-SELECT DISTINCT {_ITEM_SK} AS "orderItemSk", order_item_id AS "orderItemId", quantity,
+SELECT {_ITEM_SK} AS "orderItemSk", order_item_id AS "orderItemId", quantity,
        ts_ms AS "transactionTime"
-FROM ({_ITEMS}) WHERE ts_ms >= {START + 3 * YEAR}"""
+FROM ({live('order_items', 'order_item_id')}) WHERE ts_ms >= {START + 3 * YEAR}"""
 
 QUARANTINE = f"""
 SELECT error, count(*) AS messages FROM (
@@ -280,7 +322,7 @@ WHERE error IS NOT NULL GROUP BY error"""
 def sales(dimension: str, sk: str, columns: str) -> str:
     return f"""
 SELECT {columns}, count(*) AS items, sum(quantity)::BIGINT AS units,
-       round(sum("priceTotal"), 2) AS sales
+       round(sum("priceTotal"), 4) AS sales
 FROM ({F_ORDER_ITEMS}) f JOIN ({dimension}) d ON f."{sk}" = d."{sk}"
 GROUP BY {columns}"""
 
@@ -410,8 +452,8 @@ def batch_oracles() -> dict[str, str]:
         "warehouse_carrier_services":
             f'SELECT * REPLACE ("serviceId"::VARCHAR AS "serviceId") FROM ({D_SERVICES})',
         "stream_insert_ignore":
-            f'SELECT {_ITEM_SK} AS "orderItemSk", order_item_id AS "orderItemId", quantity, '
-            f'ts_ms AS "transactionTime" FROM ({_ITEMS})',
+            f'SELECT DISTINCT {_ITEM_SK} AS "orderItemSk", order_item_id AS "orderItemId", '
+            f"ts_ms AS \"transactionTime\" FROM ({_ITEMS}) WHERE op <> 'd'",
         # A replay of a whole stream gives what the batch operators give.
         "stream_landing_orders": landing("orders"),
         "stream_scd2_events": EVENT_CHANGELOG,

@@ -240,7 +240,7 @@ def upsert_dim(spark, sf_dir):
 def insert_ignore_fact(spark, sf_dir):
     """Items delivered twice, on top of those already stored."""
     key = surrogate_key("order_item", F.col("order_item_id"), F.col("book_id"), F.col("ts_ms"))
-    items = feeds.landed(spark, sf_dir, "order_items").select(
+    items = facts.live_rows(feeds.landed(spark, sf_dir, "order_items"), "order_item_id").select(
         key.alias("orderItemSk"), F.col("order_item_id").alias("orderItemId"), "quantity",
         F.col("ts_ms").alias("transactionTime"))
     stored = items.where(F.col("transactionTime") < feeds.START + 3 * feeds.YEAR)

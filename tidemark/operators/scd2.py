@@ -99,12 +99,14 @@ def scd2_changelog(changes: DataFrame, key: str, attrs: Mapping[str, Column | st
 def consolidate(changelog: DataFrame, sk: str) -> DataFrame:
     """One row per surrogate key: the closing row where there is one.
 
-    All other columns depend on the surrogate key. Grouping by them keeps this
-    a hash aggregate that combines copies before the shuffle.
+    Where rows of one key differ in other columns, those of the earliest end count, ties
+    going to the smallest. Copies are combined before the shuffle, which is by the
+    surrogate key alone.
     """
-    same = [c for c in changelog.columns if c != "validTo"]
-    grouped = changelog.groupBy(*same).agg(F.min("validTo").alias("validTo"))
-    return grouped.select(*changelog.columns)
+    rest = [c for c in changelog.columns if c not in (sk, "validTo")]
+    row = F.struct("validTo", *rest)
+    kept = changelog.groupBy(sk).agg(F.min(row).alias("__row"))
+    return kept.select(sk, "__row.*").select(*changelog.columns)
 
 
 def consolidate_in_windows(changelog: DataFrame, sk: str,
@@ -115,17 +117,19 @@ def consolidate_in_windows(changelog: DataFrame, sk: str,
     closing row of its version came before the end of its acceptance window,
     for a watermark that keeps up with event time.
     """
-    same = [c for c in changelog.columns if c != "validTo"]
+    rest = [c for c in changelog.columns if c not in (sk, "validTo")]
     closing = F.when(F.col("validTo") != END_OF_TIME, F.col("validTo"))
-    grouped = changelog.groupBy(*same).agg(
+    grouped = changelog.groupBy(sk).agg(
+        F.min(F.struct("validTo", *rest)).alias("__row"),
         F.min(closing).alias("__closed"), F.max("validTo").alias("__last"))
+    grouped = grouped.select(sk, *[F.col(f"__row.{c}").alias(c) for c in rest], "__closed", "__last")
     window_end = acceptance_window_end(F.col("validFrom"), window_ms)
     was_open = F.col("__last") == END_OF_TIME
     late = F.col("__closed").isNull() | (F.col("__closed") + 1 > window_end)
     ends = F.filter(
         F.array(F.when(was_open & late, F.lit(END_OF_TIME)), F.col("__closed")),
         lambda end: end.isNotNull())
-    exploded = grouped.select(*same, F.explode(ends).alias("validTo"))
+    exploded = grouped.select(sk, *rest, F.explode(ends).alias("validTo"))
     return exploded.select(*changelog.columns)
 
 

@@ -8,12 +8,36 @@ from pyspark.sql import functions as F
 from ..catalog import FACTS
 from ..functions.columns import price_total, surrogate_key
 from ..operators.joins import join_state, latest_state, latest_state_join, point_in_time_join
+from ..operators.scd2 import tie_columns
 
 SHIPMENT_COLUMNS = ("order_id", "service_id", "tracking_number", "shipping_status",
                     "shipped_date", "expected_delivery_date", "actual_delivery_date",
                     "shipping_cost")
 
 
+def live_rows(changes: DataFrame, key: str, *, ts: str = "ts_ms", op: str = "op") -> DataFrame:
+    """What became of each event: its last state, at the time of its first change.
+
+    Events that were deleted are left out, and so are rows without a key. Redelivered changes
+    count once. Changes are combined in the map tasks, so an event with very many of them
+    is no burden to one task.
+    """
+    order = F.struct(*[F.col(c) for c in (ts, *tie_columns(changes))])
+    row = F.struct(*[F.col(c) for c in changes.columns if c != ts])
+    last = changes.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(
+        F.col(key).alias("__key")).agg(F.max_by(row, order).alias("__row"), F.min(ts).alias(ts))
+    alive = last.where(~F.coalesce(F.col(f"__row.{op}") == "d", F.lit(False)))
+    return alive.select("__row.*", ts).select(*changes.columns)
+
+
+def event_rows(changes: DataFrame, key: str, which: str) -> DataFrame:
+    if which not in ("live", "all"):
+        raise ValueError(f"unknown changes: {which}")
+    if which == "live":
+        return live_rows(changes, key)
+    return changes.where(~F.coalesce(F.col("op") == "d", F.lit(False)))
+
+
 def f_order_items(
     items: DataFrame,
     orders: DataFrame,
@@ -27,14 +51,17 @@ def f_order_items(
     books_feed: DataFrame | None = None,
     customer_rows: int | None = None,
     book_rows: int | None = None,
+    changes: str = "live",
 ) -> DataFrame:
     """Order items with order, customer and book keys, and the sales measure.
 
     ``*_feed`` frames hold the dimension's key and ``validFrom`` only; the
     ``*_rows`` bounds allow a broadcast. ``disjoint`` asserts that no dimension
-    has overlapping versions.
+    has overlapping versions. ``changes="live"`` gives one fact for each item that was
+    not deleted, as it last was and at the time of its creation; ``"all"`` one for each
+    change other than a delete.
     """
-    rows = items.select(
+    rows = event_rows(items, "order_item_id", changes).select(
         "order_item_id", "order_id", "book_id", "quantity", "ts_ms",
         F.col("price_at_purchase").cast("double").alias("priceAtPurchase"),
         F.col("discount").cast("double").alias("discount"))
@@ -68,12 +95,16 @@ def order_item_fact(rows: DataFrame) -> DataFrame:
 
 
 def events_with_shipments(events: DataFrame, shipments: DataFrame, *,
-                          shipment_rows: int | None = None) -> DataFrame:
-    """Each shipment event with the latest state of its shipment: one row per event."""
+                          shipment_rows: int | None = None,
+                          changes: str = "live") -> DataFrame:
+    """Each shipment event with the latest state of its shipment: one row per event.
+
+    ``changes`` as in :func:`f_order_items`.
+    """
     state = latest_state(shipments.select("shipment_id", *SHIPMENT_COLUMNS, "ts_ms",
                                           "emitted_ts_ms"), "shipment_id")
     state = state.select("shipment_id", *SHIPMENT_COLUMNS)
-    kept = events.select("event_id", "shipment_id", "status", "location", "ts_ms")
+    kept = event_rows(events, "event_id", changes).select("event_id", "shipment_id", "status", "location", "ts_ms")
     return join_state(kept, state, "shipment_id", spread_by="event_id", state_rows=shipment_rows)
 
 
@@ -97,8 +128,10 @@ def f_shipment_events(
     orders_feed: DataFrame | None = None,
     services_feed: DataFrame | None = None,
     service_rows: int | None = None,
+    changes: str = "live",
 ) -> DataFrame:
-    rows = events_with_shipments(events, shipments)
+    """Live shipment events with shipment, order and service; ``changes`` as above."""
+    rows = events_with_shipments(events, shipments, changes=changes)
     rows = point_in_time_join(
         rows, orders.select("orderId", "orderSk", "validFrom", "validTo"),
         ("order_id", "orderId"), "ts_ms", versions_from=orders_feed,

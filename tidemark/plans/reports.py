@@ -19,7 +19,7 @@ def sales_by(facts: DataFrame, dimension: DataFrame, sk: str, columns: Sequence[
         F.sum("priceTotal").alias("sales"))
     return per_version.join(dimension.select(sk, *columns), sk).groupBy(*columns).agg(
         F.sum("items").alias("items"), F.sum("units").alias("units"),
-        F.round(F.sum("sales"), 2).alias("sales"))
+        F.round(F.sum("sales"), 4).alias("sales"))
 
 
 def delivery_by_service(facts: DataFrame, services: DataFrame) -> DataFrame:
