@@ -97,7 +97,7 @@ def _books(read):
     return df, ts, F.col("p_partkey") * 4 + F.col("n"), {
         "book_id": "p_partkey",
         "title": "p_name",
-        "author_id": F.col("p_partkey") % 25,
+        "author_id": (F.col("p_partkey") + F.col("n") * (F.col("p_partkey") % 2)) % 25,
         "isbn": F.concat(F.lit("978"), F.lpad(F.col("p_partkey").cast("string"), 10, F.lit("0")),
                          F.lit(" (print)")),
         "price": F.col("p_retailprice"),

@@ -33,7 +33,7 @@ _SQL_FEEDS: dict[str, tuple[str, str, str, dict[str, str]]] = {
             "country": "'REGION_' || n_regionkey", "lsn": "(n_nationkey * 4 + n)::BIGINT"}),
     "books": (
         "part", "p_partkey % 3 + 1", f"{START} + n * {YEAR} + p_partkey % 1000", {
-            "book_id": "p_partkey", "title": "left(p_name, 50)", "author_id": "p_partkey % 25",
+            "book_id": "p_partkey", "title": "left(p_name, 50)", "author_id": "(p_partkey + n * (p_partkey % 2)) % 25",
             "isbn": "'978' || lpad(p_partkey::VARCHAR, 10, '0')",
             "price": "p_retailprice::DECIMAL(10,2)::DOUBLE",
             "published_date": "DATE '1960-01-01' + (p_partkey % 20000)::INT",
