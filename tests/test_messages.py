@@ -147,3 +147,12 @@ def test_topic_directories_and_typed_rows(spark, tmp_path):
     good = parsed.where("_error IS NULL").select("id", "name")
     assert sorted(tuple(r) for r in good.collect()) == [(1, "a"), (2, None)]
     assert [r["_raw"] for r in parsed.where("_error IS NOT NULL").collect()] == ["{broken"]
+
+
+def test_unreadable_values_are_a_reason(spark):
+    item = {"order_item_id": 1, "order_id": 2, "book_id": 3, "quantity": 4,
+            "price_at_purchase": "B88=", "discount": None}
+    parsed = parse(spark, "order_items", message(item), message({**item, "discount": "!!bad!!"}),
+                   message({**item, "discount": "AQAAAAAAAAAA", "price_at_purchase": "?"}))
+    assert [r["_error"] for r in parsed.collect()] == [
+        None, "unreadable discount", "unreadable price_at_purchase, discount"]

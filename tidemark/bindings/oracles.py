@@ -319,6 +319,16 @@ SELECT error, count(*) AS messages FROM (
 WHERE error IS NOT NULL GROUP BY error"""
 
 
+REJECTED = f"""
+SELECT error, count(*) AS messages FROM (
+  SELECT CASE WHEN book_id % 10 = 0 THEN 'malformed message'
+              WHEN book_id % 10 IN (1, 2) AND discount IS NOT NULL THEN 'unreadable discount'
+              WHEN book_id % 10 = 3 THEN 'missing quantity'
+              WHEN book_id % 10 = 4 THEN 'no operation or time' END AS error
+  FROM ({_ITEMS}))
+WHERE error IS NOT NULL GROUP BY error"""
+
+
 def sales(dimension: str, sk: str, columns: str) -> str:
     return f"""
 SELECT {columns}, count(*) AS items, sum(quantity)::BIGINT AS units,
@@ -443,6 +453,7 @@ def batch_oracles() -> dict[str, str]:
         "upsert_dim": D_ORDERS,
         "insert_ignore_fact": INSERT_IGNORE,
         "corrupt_quarantine": QUARANTINE,
+        "landing_rejected": REJECTED,
         "delivery_time_by_service": DELIVERY,
         "orders_presentation": f'SELECT * EXCLUDE ("customerId") FROM ({D_ORDERS})',
         "dq_constraints": _constraints(),

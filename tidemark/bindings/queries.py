@@ -64,6 +64,23 @@ def corrupt_quarantine(spark, sf_dir):
     return rejected.groupBy("error").agg(F.count("*").alias("messages"))
 
 
+def landing_rejected(spark, sf_dir):
+    """Order item messages, some with values that cannot be read, by reason."""
+    items = feeds.landed(spark, sf_dir, "order_items", whole_text=True).withColumn(
+        "op", F.when(F.col("book_id") % 10 != 4, F.col("op")))
+    value = F.col("value")
+    book = F.regexp_extract("value", '"book_id":([0-9]+)', 1).try_cast("bigint") % 10
+    discount = '"discount":"[^"]*"'
+    bad = (F.when(book == 0, F.left(value, F.length(value) - 3))
+           .when(book == 1, F.regexp_replace(value, discount, '"discount":"!!bad!!"'))
+           .when(book == 2, F.regexp_replace(value, discount, '"discount":"AQAAAAAAAAAA"'))
+           .when(book == 3, F.regexp_replace(value, '"quantity":', '"quantity":"many","q":'))
+           .otherwise(value))
+    messages = to_message(items, "order_items").select(bad.alias("value"))
+    rejected = rejected_rows(parse_changes(messages, "order_items"))
+    return rejected.groupBy("error").agg(F.count("*").alias("messages"))
+
+
 def _event_versions(spark, sf_dir, **options):
     return scd2.scd2_versions(feeds.events(spark, sf_dir), "user_id", EVENT_COLUMNS,
                               **EVENTS, **options)
@@ -301,7 +318,7 @@ def batch_queries() -> dict[str, Query]:
         dim_orders, dim_customers, dim_books, dim_carrier_services, books_authors_joined,
         services_carriers_joined, shipment_events_joined, shipment_events_latest, pit_orders,
         pit_orders_inclusive, fact_order_items, fact_shipment_events, unmatched_items, upsert_dim,
-        insert_ignore_fact, corrupt_quarantine, delivery_time_by_service, orders_presentation,
+        insert_ignore_fact, corrupt_quarantine, landing_rejected, delivery_time_by_service, orders_presentation,
         dq_constraints, status_transitions, dim_topic_round_trip, warehouse_carrier_services,
     ]
     return {

@@ -67,12 +67,16 @@ def metadata_columns(flavor: str) -> list[Column]:
     return [values[name].alias(name) for name, _ in METADATA[flavor]]
 
 
-def _raw(field: Field, decode_decimals: bool) -> Column:
+def _written(field: Field, kind: str = "string") -> Column:
     """The value of a field, from ``before`` where the message is a delete."""
+    return F.coalesce(_at(f"payload.after.{field.name}", kind), F.when(
+        _at("payload.op") == "d", _at(f"payload.before.{field.name}", kind)))
+
+
+def _raw(field: Field, decode_decimals: bool) -> Column:
     kind = {"timestamp": "bigint", "date": "int", "decimal": "string"}.get(
         field.kind, LANDED_TYPES[field.kind])
-    raw = F.coalesce(_at(f"payload.after.{field.name}", kind), F.when(
-        _at("payload.op") == "d", _at(f"payload.before.{field.name}", kind)))
+    raw = _written(field, kind)
     if field.kind == "decimal" and decode_decimals:
         raw = hex_digits(raw)
     return raw.alias(field.name)
@@ -100,7 +104,8 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
     Each message is parsed once, straight to numbers; a generator keeps the
     optimizer from copying the parse into every column and filter above it. Only a
     message that does not fit is parsed again as text, so that a number written
-    as text still counts and one bad value never spoils its row.
+    as text still counts. A value that is there but cannot be read or does not fit its type is
+    a reason to reject the message, as "unreadable" with the names of its columns.
     """
     source = SOURCES[table]
     opened = messages.select(F.col(value).alias("_raw"), F.inline(F.array(
@@ -108,8 +113,10 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
     again = F.when(F.col(CORRUPT).isNotNull(),
                    _parsed(F.col("_raw"), envelope_schema(table, as_text=True)))
     opened = opened.select("_raw", "payload", F.explode(F.array(again)).alias("text"))
+    coded = [f for f in source.fields if f.kind in (*_NUMBERS, "decimal")]
     rows = opened.select(
         *[_raw(f, decode_decimals) for f in source.fields],
+        *[_written(f).isNotNull().alias(f"_has_{f.name}") for f in coded],
         *metadata_columns(source.flavor), F.col(f"text.{CORRUPT}").alias(CORRUPT), "_raw")
     required = [f.name for f in source.fields if f.required]
     absent = F.concat_ws(", ", *[F.when(F.col(n).isNull(), n) for n in required])
@@ -119,9 +126,14 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
         .when(reduce(or_, [F.col(n).isNull() for n in required]),
               F.concat(F.lit("missing "), absent))
     )
-    return rows.select(*[_landed(f, decode_decimals) for f in source.fields],
-                       *[n for n, _ in METADATA[source.flavor]],
-                       error.alias("_error"), "_raw")
+    names = [n for n, _ in METADATA[source.flavor]]
+    landed = rows.select(*[_landed(f, decode_decimals) for f in source.fields], *names,
+                         error.alias("_error"), "_raw", *[f"_has_{f.name}" for f in coded])
+    lost = F.concat_ws(", ", *[F.when(F.col(f"_has_{f.name}") & F.col(f.name).isNull(), f.name)
+                               for f in coded])
+    unreadable = F.when(lost != "", F.concat(F.lit("unreadable "), lost))
+    return landed.select(*[f.name for f in source.fields], *names,
+                         F.coalesce("_error", unreadable).alias("_error"), "_raw")
 
 
 def landed_rows(parsed: DataFrame) -> DataFrame:
