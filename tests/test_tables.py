@@ -232,3 +232,15 @@ def test_consolidation_is_by_surrogate_key(spark):
     log = spark.createDataFrame([("k", "a", 1, END), ("k", "b", 1, 9)],
                                 "sk STRING, x STRING, validFrom BIGINT, validTo BIGINT")
     assert [tuple(r) for r in consolidate(log, "sk").collect()] == [("k", "b", 1, 9)]
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    named = {}
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, other: named.get(key, other)),
+                              sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        scratch_dir(cluster, "x")
+    named["spark.checkpoint.dir"] = "hdfs://shared"
+    assert scratch_dir(cluster, "x").startswith("hdfs://shared/x-")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -67,9 +68,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory below the cluster's shared checkpoint folder.
 
-    Only where the cluster names none (tests on one machine) a temporary
-    folder takes its place.
+    Only where none is named and Spark runs in one process (tests), a temporary
+    folder takes its place; a cluster has to name one, as executors do not see the driver's.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     base = shared or tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
