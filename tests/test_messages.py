@@ -156,3 +156,11 @@ def test_unreadable_values_are_a_reason(spark):
                    message({**item, "discount": "AQAAAAAAAAAA", "price_at_purchase": "?"}))
     assert [r["_error"] for r in parsed.collect()] == [
         None, "unreadable discount", "unreadable price_at_purchase, discount"]
+
+
+def test_texts_are_cut_or_kept_whole(spark):
+    text = "x" * 300
+    df = spark.createDataFrame([(message({**ORDER, "shipping_method": text}),)], "value STRING")
+    cut, whole = (parse_changes(df, "orders", cut_texts=c).first()["shipping_method"]
+                  for c in (True, False))
+    assert cut == text[:20] and whole == text

@@ -53,15 +53,16 @@ def _at(path: str, type_name: str = "string") -> Column:
         F.col(f"text.{path}").try_cast(type_name))
 
 
-def metadata_columns(flavor: str) -> list[Column]:
+def metadata_columns(flavor: str, cut_texts: bool = True) -> list[Column]:
     """The change metadata of a Postgres or MySQL message."""
+    length = 20 if cut_texts else None
     transaction = "payload.source.txId" if flavor == "postgres" else "payload.source.gtid"
     values = {
         "op": F.left(_at("payload.op"), F.lit(1)),
         "emitted_ts_ms": _at("payload.ts_ms", "bigint"),
         "ts_ms": _at("payload.source.ts_ms", "bigint"),
-        "connector_version": F.left(_at("payload.source.version"), F.lit(20)),
-        "transaction_id": F.left(_at(transaction), F.lit(20)),
+        "connector_version": truncated(_at("payload.source.version"), length),
+        "transaction_id": truncated(_at(transaction), length),
         "lsn": _at("payload.source.lsn", "bigint"),
     }
     return [values[name].alias(name) for name, _ in METADATA[flavor]]
@@ -82,10 +83,10 @@ def _raw(field: Field, decode_decimals: bool) -> Column:
     return raw.alias(field.name)
 
 
-def _landed(field: Field, decode_decimals: bool) -> Column:
+def _landed(field: Field, decode_decimals: bool, cut_texts: bool) -> Column:
     raw = F.col(field.name)
     if field.kind == "text":
-        value = truncated(raw, field.length)
+        value = truncated(raw, field.length if cut_texts else None)
     elif field.kind == "timestamp":
         value = micros_to_timestamp(raw)
     elif field.kind == "date":
@@ -98,7 +99,7 @@ def _landed(field: Field, decode_decimals: bool) -> Column:
 
 
 def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
-                  decode_decimals: bool = True) -> DataFrame:
+                  decode_decimals: bool = True, cut_texts: bool = True) -> DataFrame:
     """Typed landing rows plus ``_error`` (NULL for good rows) and ``_raw``.
 
     Each message is parsed once, straight to numbers; a generator keeps the
@@ -106,6 +107,9 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
     message that does not fit is parsed again as text, so that a number written
     as text still counts. A value that is there but cannot be read or does not fit its type is
     a reason to reject the message, as "unreadable" with the names of its columns.
+
+    Texts are cut to the lengths of the landing's columns, as its schema declares them;
+    ``cut_texts=False`` keeps them whole.
     """
     source = SOURCES[table]
     opened = messages.select(F.col(value).alias("_raw"), F.inline(F.array(
@@ -117,7 +121,7 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
     rows = opened.select(
         *[_raw(f, decode_decimals) for f in source.fields],
         *[_written(f).isNotNull().alias(f"_has_{f.name}") for f in coded],
-        *metadata_columns(source.flavor), F.col(f"text.{CORRUPT}").alias(CORRUPT), "_raw")
+        *metadata_columns(source.flavor, cut_texts), F.col(f"text.{CORRUPT}").alias(CORRUPT), "_raw")
     required = [f.name for f in source.fields if f.required]
     absent = F.concat_ws(", ", *[F.when(F.col(n).isNull(), n) for n in required])
     error = (
@@ -127,7 +131,7 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
               F.concat(F.lit("missing "), absent))
     )
     names = [n for n, _ in METADATA[source.flavor]]
-    landed = rows.select(*[_landed(f, decode_decimals) for f in source.fields], *names,
+    landed = rows.select(*[_landed(f, decode_decimals, cut_texts) for f in source.fields], *names,
                          error.alias("_error"), "_raw", *[f"_has_{f.name}" for f in coded])
     lost = F.concat_ws(", ", *[F.when(F.col(f"_has_{f.name}") & F.col(f.name).isNull(), f.name)
                                for f in coded])
