@@ -301,6 +301,22 @@ def test_surrogates_keep_type_format_and_coreference():
         assert old not in new
 
 
+@pytest.mark.parametrize("text", [
+    "order 9807915762804490 of", "at 1733061600124 ms", "no 4111 1111 1111 1112", "7536784127813051"])
+def test_numbers_that_are_no_cards_stay(text):
+    assert surrogates.replaced(text, KEY) == (text, [])
+
+
+@pytest.mark.parametrize("text, card", [
+    ("4111 1111 1111 1111 12/27", "4111 1111 1111 1111"), ("no 4111111111111111 123", "4111111111111111"),
+    ("99 4111-1111-1111-1111", "4111-1111-1111-1111"), ("3782 822463 10005 77 1", "3782 822463 10005"),
+    ("9807915762804490 4845168114407329", "4845168114407329"),
+    ("NO12 4111 1111 1111 1111", "4111 1111 1111 1111")])
+def test_cards_beside_other_digits_are_found(text, card):
+    assert [text[a:b] for a, b, kind, _ in surrogates.entities(text) if kind == "card"] == [card]
+    assert card not in surrogates.replaced(text, KEY)[0]
+
+
 def test_surrogates_of_odd_rows(spark, odd, empty):
     found = surrogates.pseudonymise(odd, "s")
     assert found.count() == len(ODD) and found.columns == [*odd.columns, "entities"]

@@ -68,7 +68,11 @@ _PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?:[ .-]\d{2,4})?(?![\d]|\.\d)",
 }
-_DIGITS = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()))
+_EACH = {k: re.compile(p) for k, p in _PATTERNS.items()}
+_SURE = tuple(k for k in _PATTERNS if k != "phone")
+_ANY = re.compile("|".join(_PATTERNS[k] for k in _SURE))
+#: How cards are written: in one block, in fours, or as 4-6-5 and 4-6-4.
+_CARD_LAYOUT = re.compile(r"\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}[ -]\d{1,4}|\d{4}[ -]\d{6}[ -]\d{4,5}")
 _TITLED = re.compile(
     "(?<!\\w)(?P<title>" + "|".join(map(re.escape, sorted(_GENDER, key=len, reverse=True)))
     + rf")[  ](?P<name>{_NAME}(?:[  ]{_NAME}){{0,2}})")
@@ -177,9 +181,8 @@ def surrogate(kind: str, canonical: str, key: bytes) -> str:
         mixed = _spelled(f"{local}@{stem}", key, "email" + kept)
         return mixed + (kept or "invalid")
     if kind == "card":
-        wrong = (int(canonical[-1]) - luhn(canonical[:-1])) % 10
         body = canonical[0] + _spelled(canonical[1:-1], key, "card")
-        return body + str((luhn(body) + wrong) % 10)
+        return body + str(luhn(body))
     if kind == "iban":
         account = _spelled(canonical[4:].lower(), key, "iban" + canonical[:2]).upper()
         return canonical[:2] + _iban_checks(canonical[:2], account) + account
@@ -199,9 +202,12 @@ def surrogate(kind: str, canonical: str, key: bytes) -> str:
 
 def canonical_form(kind: str, found: str) -> str | None:
     """What equal entities have in common; None if ``found`` is no entity of the kind."""
-    if kind in ("card", "phone"):
+    if kind == "card":
+        digits = re.sub(r"\D", "", found)
+        return digits if 13 <= len(digits) <= 19 and luhn(digits[:-1]) == int(digits[-1]) else None
+    if kind == "phone":
         digits = re.sub(r"\D", "", found)
-        return digits if kind == "card" or 7 <= len(digits) <= 15 else None
+        return digits if 7 <= len(digits) <= 15 else None
     if kind == "ip":
         octets = [int(o) for o in found.split(".")]
         return ".".join(map(str, octets)) if max(octets) < 256 else None
@@ -222,18 +228,67 @@ def _as_written(new: str, found: str) -> str:
                    for k, c in enumerate(new))
 
 
+def _card(text: str, start: int, end: int) -> tuple[int, str] | None:
+    """End and canonical form of the card at ``start``: the longest run of whole blocks with a
+    right check digit. Among other numbers it has to be in a layout of cards."""
+    whole = not re.search(r"\d[ -]$", text[max(0, start - 2):start]) \
+        and not re.match(r"[ -]?\d", text[end:end + 2])
+    borders = [m.start() for m in re.finditer("[ -]", text[start:end])]
+    for n in (end - start, *reversed(borders)):
+        written = text[start:start + n]
+        if (whole and n == end - start) or _CARD_LAYOUT.fullmatch(written):
+            form = canonical_form("card", written)
+            if form is not None:
+                return start + n, form
+    return None
+
+
+def _marked(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Entities that their characters tell. Where a candidate is none, its span is searched on.
+
+    Telephone numbers, which no check tells, are looked for in what the others leave; the
+    blocks of a number that is written like a card are none.
+    """
+    at, rest, done = 0, [], 0
+    while match := _ANY.search(text, at):
+        start = at = match.start()
+        for kind in _SURE:
+            if not (hit := _EACH[kind].match(text, start)):
+                continue
+            end, taken = hit.end(), hit.end()
+            if kind == "card":
+                end, form = _card(text, start, end) or (end, None)
+                taken = end if form is not None or _CARD_LAYOUT.fullmatch(hit[0]) else start
+            else:
+                form = canonical_form(kind, hit[0])
+                taken = end if form is not None else start
+            if taken > done:
+                rest += (text[done:start], "\0" * (taken - max(start, done)))
+                done = taken
+            if form is not None:
+                yield start, end, kind, form
+                at = end
+                break
+        else:
+            at += 1
+    rest, at = "".join([*rest, text[done:]]), 0
+    while hit := _EACH["phone"].search(rest, at):
+        form = canonical_form("phone", hit[0])
+        if form is not None:
+            yield hit.start(), hit.end(), "phone", form
+        at = hit.end() if form is not None else hit.start() + 1
+
+
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, canonical)`` of all entities, from left to right, not overlapping.
 
     A name is one entity for each of its parts, so ``Mr. John Smith`` and ``Mr. Smith`` share
     the family name's surrogate. Names are told by a title, or by a listed given name ahead of
-    another capitalised word.
+    another capitalised word. A run of digits is a card only with a right check digit (Luhn).
     """
     text, found = text or "", []
-    for match in _DIGITS.finditer(text) if re.search("[0-9@]|[0-9a-fA-F]{32}", text) else ():
-        form = canonical_form(match.lastgroup, match[0])
-        if form is not None:
-            found.append((match.start(), match.end(), match.lastgroup, form))
+    if re.search("[0-9@]|[0-9a-fA-F]{32}", text):
+        found += _marked(text)
     for match in _TITLED.finditer(text):
         parts = []
         for part in re.finditer(_NAME, match["name"]):
