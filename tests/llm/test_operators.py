@@ -317,6 +317,28 @@ def test_cards_beside_other_digits_are_found(text, card):
     assert card not in surrogates.replaced(text, KEY)[0]
 
 
+@pytest.mark.parametrize("phone", [
+    "+14155552671", "+1 415 555 2671", "+1 (415) 555-2671", "+49 30 12345678", "+49 (0)30 1234-5678", "030 12345678",
+    "030/12345678", "(030) 12345678", "0171 1234567", "06 12 34 56 78", "06.12.34.56.78", "0612345678",
+    "+33 6 12 34 56 78", "+33612345678", "+4930123456783", "+34 612 345 678", "(504) 555-0953", "504-555-0953"])
+def test_phone_formats(phone):
+    for text in (f"Bei {phone} oder", phone, f"({phone}), 2024"):
+        found = [(text[a:b], kind) for a, b, kind, _ in surrogates.entities(text)]
+        assert found == [(phone, "phone")]
+        new = surrogates.replaced(text, KEY)[0]
+        assert phone not in new and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+
+
+def test_phone_numbers_share_surrogates_and_bare_ones_need_a_word():
+    forms = [{f for *_, f in surrogates.entities(t)} for t in (
+        "+33 6 12 34 56 78", "0033 6 12 34 56 78", "+33612345678 2024", "tel: 33612345678")]
+    assert forms == [{"33612345678"}] * 4
+    for text in ("Call me at 4155552671.", "Phone number: 4155552671", "Tel. 4155552671"):
+        assert "4155552671" not in surrogates.replaced(text, KEY)[0]
+    text = "01.02.2024 10:30, 01/02/2024, order 4155552671, at 1733061600, 0.12345678, 007, v1.20.300"
+    assert surrogates.replaced(text, KEY) == (text, [])
+
+
 def test_surrogates_of_odd_rows(spark, odd, empty):
     found = surrogates.pseudonymise(odd, "s")
     assert found.count() == len(ODD) and found.columns == [*odd.columns, "entities"]

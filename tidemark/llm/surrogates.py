@@ -66,11 +66,27 @@ _PATTERNS = {
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])(?!\.\d)",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?:[ .-]\d{2,4})?(?![\d]|\.\d)",
 }
 _EACH = {k: re.compile(p) for k, p in _PATTERNS.items()}
-_SURE = tuple(k for k in _PATTERNS if k != "phone")
-_ANY = re.compile("|".join(_PATTERNS[k] for k in _SURE))
+_ANY = re.compile("|".join(_PATTERNS.values()))
+# Telephone numbers: with a country's code, after + or 00; national ones with a leading 0, solid,
+# in pairs or as area code and blocks; groups as in North America; any number behind a word for it.
+_PHONES = {
+    "abroad": r"(?:(?<![\w+])\+|(?<=(?<![\w.,+-])00))[1-9]\d{0,2}(?:[ ./-]?\(\d{1,5}\))?(?:[ ./-]?\d){4,14}(?!\d)",
+    "pairs": r"(?<![\w.,+-])0[1-9](?P<mark>[ ./-])\d\d(?:(?P=mark)\d\d){3}(?!\d|(?P=mark)\d)",
+    "solid": r"(?<![\w.,+-])0[1-9]\d{7,10}(?![\w-]|[.,]\d)",
+    "area": r"(?<![\w.,+-])(?:\(0[1-9]\d{0,4}\) ?|0[1-9]\d{1,4}(?: ?[/-] ?|[ .]))\d{2,8}(?:[ .-]\d{2,5}){0,4}(?!\d)",
+    "groups": r"(?<![\d.])(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?:[ .-]\d{2,4})?(?![\d]|\.\d)",
+    "cued": r"(?<![\w.,+-])\d(?:[ ./-]?\d){5,14}(?![\w]|[.,]\d)",
+}
+_PHONE = re.compile("|".join(_PHONES.values()))
+_PHONES_EACH = {k: re.compile(p) for k, p in _PHONES.items()}
+_CUE = re.compile(
+    r"(?<!\w)(?:call|dial|phone|tel|telephone|telefon|t[ée]l[ée]phone|tel[ée]fono|mobile?|m[óo]vil|cell|cellphone|fax"
+    r"|whatsapp|sms|portable|handy|rufnummer|telefonnummer|handynummer|anruf|anrufen|appel|appelez|llame|llamar"
+    r"|тел|телефон|телефону|звоните)(?!\w)[^\w\n]{0,3}(?:[^\W\d]+[^\w\n]{1,3}){0,3}[^\w\n]?$", re.IGNORECASE)
+#: Digits of a number with its country's code, where they are fixed.
+_FIXED = {"1": 11, "7": 11, "33": 11, "34": 11}
 #: How cards are written: in one block, in fours, or as 4-6-5 and 4-6-4.
 _CARD_LAYOUT = re.compile(r"\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}[ -]\d{1,4}|\d{4}[ -]\d{6}[ -]\d{4,5}")
 _TITLED = re.compile(
@@ -195,6 +211,12 @@ def surrogate(kind: str, canonical: str, key: bytes) -> str:
     if kind == "secret":
         number = permuted(int(canonical, 16), 16 ** len(canonical), key, f"hex{len(canonical)}")
         return f"{number:0{len(canonical)}x}"
+    if kind == "phone":
+        rest = canonical.lstrip("0")
+        out = _spelled(rest, key, kind)
+        while out.startswith("0"):  # as many zeros in front as before: they tell its format
+            out = _spelled(out, key, kind)
+        return "0" * (len(canonical) - len(rest)) + out
     if kind.startswith("person"):
         return _name(canonical, kind.partition(":")[2], key)
     return _spelled(canonical, key, kind)
@@ -207,7 +229,8 @@ def canonical_form(kind: str, found: str) -> str | None:
         return digits if 13 <= len(digits) <= 19 and luhn(digits[:-1]) == int(digits[-1]) else None
     if kind == "phone":
         digits = re.sub(r"\D", "", found)
-        return digits if 7 <= len(digits) <= 15 else None
+        least, most = (8, 13) if digits[0] == "0" else (7, 15)
+        return digits if least <= len(digits) <= most else None
     if kind == "ip":
         octets = [int(o) for o in found.split(".")]
         return ".".join(map(str, octets)) if max(octets) < 256 else None
@@ -228,21 +251,44 @@ def _as_written(new: str, found: str) -> str:
                    for k, c in enumerate(new))
 
 
+def _abroad(text: str, start: int) -> int:
+    """Up to so many digits behind + or 00 are a telephone number."""
+    return 15 if text[max(0, start - 1):start] == "+" else 17 if text.startswith("00", start) else 0
+
+
 def _card(text: str, start: int, end: int) -> tuple[int, str] | None:
     """End and canonical form of the card at ``start``: the longest run of whole blocks with a
     right check digit. Among other numbers it has to be in a layout of cards."""
     whole = not re.search(r"\d[ -]$", text[max(0, start - 2):start]) \
         and not re.match(r"[ -]?\d", text[end:end + 2])
+    abroad = _abroad(text, start)
     borders = [m.start() for m in re.finditer("[ -]", text[start:end])]
     for n in (end - start, *reversed(borders)):
         written = text[start:start + n]
         if (whole and n == end - start) or _CARD_LAYOUT.fullmatch(written):
             form = canonical_form("card", written)
-            if form is not None:
+            if form is not None and len(form) > abroad:
                 return start + n, form
     return None
 
 
+def _phone(text: str, kind: str, hit: re.Match) -> tuple[int, str] | None:
+    """End and canonical form of a telephone number: the most blocks that make one."""
+    start = hit.start()
+    if kind == "cued" and not _CUE.search(text[max(0, start - 60):start]):
+        return None
+    borders = [m.start() for m in re.finditer(r"(?<=[\d)])[^\d)]+(?=[\d(])", hit[0])]
+    ends = [len(hit[0]), *reversed(borders)]
+    forms = [(start + n, form) for n in ends if (form := canonical_form("phone", hit[0][:n]))]
+    if kind == "abroad":
+        fixed = [f for f in forms for code, n in _FIXED.items()
+                 if f[1].startswith(code) and len(f[1]) == n]
+        forms = fixed or [f for f in forms if len(f[1]) >= 8]
+    elif kind not in ("area", "cued"):
+        forms = forms[:1] if forms and forms[0][0] == hit.end() else []
+    return forms[0] if forms else None
+
+
 def _marked(text: str) -> Iterator[tuple[int, int, str, str]]:
     """Entities that their characters tell. Where a candidate is none, its span is searched on.
 
@@ -252,13 +298,14 @@ def _marked(text: str) -> Iterator[tuple[int, int, str, str]]:
     at, rest, done = 0, [], 0
     while match := _ANY.search(text, at):
         start = at = match.start()
-        for kind in _SURE:
-            if not (hit := _EACH[kind].match(text, start)):
+        for kind, pattern in _EACH.items():
+            if not (hit := pattern.match(text, start)):
                 continue
             end, taken = hit.end(), hit.end()
             if kind == "card":
                 end, form = _card(text, start, end) or (end, None)
-                taken = end if form is not None or _CARD_LAYOUT.fullmatch(hit[0]) else start
+                number = _CARD_LAYOUT.fullmatch(hit[0]) and not _abroad(text, start)
+                taken = end if form is not None or number else start
             else:
                 form = canonical_form(kind, hit[0])
                 taken = end if form is not None else start
@@ -272,11 +319,15 @@ def _marked(text: str) -> Iterator[tuple[int, int, str, str]]:
         else:
             at += 1
     rest, at = "".join([*rest, text[done:]]), 0
-    while hit := _EACH["phone"].search(rest, at):
-        form = canonical_form("phone", hit[0])
-        if form is not None:
-            yield hit.start(), hit.end(), "phone", form
-        at = hit.end() if form is not None else hit.start() + 1
+    while hit := _PHONE.search(rest, at):
+        for kind, pattern in _PHONES_EACH.items():
+            each = pattern.match(rest, hit.start())
+            if each and (found := _phone(rest, kind, each)):
+                yield hit.start(), found[0], "phone", found[1]
+                at = found[0]
+                break
+        else:
+            at = hit.start() + 1
 
 
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
