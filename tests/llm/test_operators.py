@@ -339,6 +339,24 @@ def test_phone_numbers_share_surrogates_and_bare_ones_need_a_word():
     assert surrogates.replaced(text, KEY) == (text, [])
 
 
+def test_titled_names_share_surrogates():
+    text = "Dr. Anna Weber, Anna Weber, Mrs. Anna Weber, Prof. Xenia Weber, Frau Xenia Weber"
+    kinds = [kind for *_, kind, _ in surrogates.entities(text)]
+    assert kinds == ["person:f", "person:family"] * 3 + ["person:", "person:family", "person:f", "person:family"]
+    new, spans = surrogates.replaced(text, KEY)
+    parts = [new[s["start"]:s["end"]] for s in spans]
+    assert parts[:2] == parts[2:4] == parts[4:6] and parts[6:8] == parts[8:10]
+    assert parts[0].lower() in surrogates.GIVEN["latin", "f"]
+
+
+def test_names_of_all_roles_are_distinct():
+    listed = [n for names in (*surrogates.GIVEN.values(), *surrogates.FAMILY.values()) for n in names]
+    short = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    names = [(role, n) for k, n in enumerate(listed + short) for role in [("", "f", "m", "family")[k % 4]]]
+    assert len(set(listed)) == len(listed)
+    assert len({surrogates.surrogate(f"person:{r}", n, KEY) for r, n in names}) == len(names)
+
+
 def test_surrogates_of_odd_rows(spark, odd, empty):
     found = surrogates.pseudonymise(odd, "s")
     assert found.count() == len(ODD) and found.columns == [*odd.columns, "entities"]

@@ -174,16 +174,22 @@ def _private(n: int) -> int:
     return 2 if a == 127 or a == 0 or a >= 224 else 0
 
 
-def _name(part: str, role: str, key: bytes) -> str:
-    """A given or family name; listed names stay listed, others keep their pattern."""
-    script = "cyrillic" if re.search("[а-яё]", part) else "latin"
-    names = GIVEN.get((script, role)) if role in "fm" and role else FAMILY.get(script) \
-        if role == "family" else None
-    if names and part in names:
-        return names[permuted(names.index(part), len(names), key, f"name|{script}|{role}")]
-    out = _spelled(part, key, f"name|{role}")
-    while names and out in names:
-        out = _spelled(out, key, f"name|{role}")
+_LISTS = (*GIVEN.values(), *FAMILY.values())
+_LISTED = {n: names for names in _LISTS for n in names}
+_GENDERED = {n: g for (_, g), names in GIVEN.items() for n in names}
+
+
+def _name(part: str, key: bytes) -> str:
+    """A name; listed names stay in their list, others keep their pattern and are not listed.
+
+    The name alone decides, not its title or place, so all roles together are distinct.
+    """
+    if part in _LISTED:
+        names = _LISTED[part]
+        return names[permuted(names.index(part), len(names), key, f"name|{names[0]}")]
+    out = _spelled(part, key, "name")
+    while out in _LISTED:
+        out = _spelled(out, key, "name")
     return out
 
 
@@ -218,7 +224,7 @@ def surrogate(kind: str, canonical: str, key: bytes) -> str:
             out = _spelled(out, key, kind)
         return "0" * (len(canonical) - len(rest)) + out
     if kind.startswith("person"):
-        return _name(canonical, kind.partition(":")[2], key)
+        return _name(canonical, key)
     return _spelled(canonical, key, kind)
 
 
@@ -346,7 +352,8 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
             if not part[0][0].isupper() or part[0][1:2].isupper():
                 break
             parts.append(part)
-        gender = _GENDER[match["title"]]
+        gender = _GENDER[match["title"]] or next(
+            (g for p in parts[:-1] if (g := _GENDERED.get(p[0].lower()))), "")
         for k, part in enumerate(parts):
             role = "family" if k == len(parts) - 1 else gender
             at = match.start("name")
@@ -355,8 +362,7 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
         given = match["given"].lower()
         if match["family"][0].isupper() and not match["family"][1:2].isupper() \
                 and match["family"] not in _GENDER:
-            gender = next(g for (_, g), names in GIVEN.items() if given in names)
-            found.append((*match.span("given"), f"person:{gender}", given))
+            found.append((*match.span("given"), f"person:{_GENDERED[given]}", given))
             found.append((*match.span("family"), "person:family", match["family"].lower()))
     found.sort(key=lambda e: (e[0], -e[1]))
     kept, end = [], 0
@@ -395,7 +401,8 @@ def collision_free_key(docs: DataFrame, secret: str, *, text_col: str = "text")
         def pairs(batches: Iterator[pd.DataFrame], key: bytes = key) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 found = {(k, form) for t in batch["text"] for _, _, k, form in entities(t)}
-                rows = [(k, form, surrogate(k, form, key)) for k, form in sorted(found)]
+                # All roles of a person together, as a text shows names, not roles.
+                rows = [(k.partition(":")[0], form, surrogate(k, form, key)) for k, form in sorted(found)]
                 yield pd.DataFrame(rows, columns=["kind", "entity", "surrogate"], dtype=object)
 
         made = docs.select(F.col(text_col).alias("text")).mapInPandas(
