@@ -268,6 +268,28 @@ def test_languages_are_told_apart(spark, empty):
     assert {r.lang_pred for r in language_id.identify(odd, blank).collect()} == {"und"}
 
 
+def test_more_than_64_languages_are_told_apart(spark):
+    import random
+    draw = random.Random(5)
+    letters = {f"l{n:03d}": "".join(chr(draw.choice(range(0x4E00, 0x9FA0))) for _ in range(12)) for n in range(90)}
+    rows = [("".join(draw.choices(own + " ", k=60)), lang) for lang, own in letters.items() for _ in range(12)]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == sorted(letters)
+    new = [("".join(draw.choices(own + " ", k=60)), lang) for lang, own in letters.items()]
+    found = language_id.identify(spark.createDataFrame(new, "text string, lang string"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 88
+
+
+def test_losses_by_definition():
+    draw = np.random.default_rng(3)
+    code, trust = language_id.codewords(9), draw.random(63)
+    model = language_id.LanguageModel([str(k) for k in range(9)], code, draw.normal(size=(5, 63)), draw.normal(size=63),
+                                      trust, 1.0)
+    x = draw.normal(size=(4, 5))
+    margins = (x @ model.weights + model.bias)[:, None, :] * code[None]
+    assert np.allclose(model.losses(x), (np.logaddexp(0, -margins) * trust).mean(axis=2))
+
+
 def test_codewords_part_every_two_languages():
     for n in (2, 4, 7, 20):
         code = language_id.codewords(n)

@@ -6,9 +6,10 @@ language whose codeword fits all predictions best, each bit's loss weighted by h
 its classifier does. A text whose two best codewords fit almost equally is ambiguous.
 
 The classifiers are learned from a bounded sample of the labelled texts: about
-``ROWS_A_LANGUAGE`` whole texts of each language (``SAMPLE_ROWS`` of all), chosen by a hash,
-and as many fragments of them. Prediction reads every text in full, where it lies; only the fitted weights, of a
-fixed size, are shipped.
+``ROWS_A_LANGUAGE`` whole texts of each language (``SAMPLE_ROWS`` of all, but of no language
+fewer than ``LEAST_ROWS`` if it has them), chosen by a hash, and as many fragments of them.
+Every language is learned, however many there are. Prediction reads every text in full, where it lies; only the fitted weights are
+shipped; their size grows with the logarithm of the number of languages, their codewords' with it.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from tidemark.llm.common import unit_hash
 
 UNDETERMINED = "und"
 #: Bounds of the sample that the classifiers are fitted on.
-ROWS_A_LANGUAGE, SAMPLE_ROWS, LANGUAGES = 500, 4000, 64
+ROWS_A_LANGUAGE, SAMPLE_ROWS, LEAST_ROWS = 500, 4000, 8
 ORDERS = (1, 2, 3)
 FEATURES = 1 << 12
 #: Code points that are counted at once.
@@ -79,7 +80,8 @@ def codewords(languages: int) -> np.ndarray:
     """One row of bits (-1, 1) a language.
 
     Up to seven languages: every way to part them in two. Beyond that, columns drawn at
-    random with as many bits as seven languages have, the best of a hundred draws by the
+    random with as many bits as seven languages have, or ten for each doubling of the languages
+    where that is more, the best of a hundred draws (fewer for thousands of languages) by the
     smallest distance between two rows.
     """
     if languages < 2:
@@ -87,11 +89,16 @@ def codewords(languages: int) -> np.ndarray:
     if languages <= 7:
         parts = [(1, *rest) for rest in itertools.product((1, -1), repeat=languages - 1)]
         return np.array([p for p in parts if -1 in p], np.int8).T
+    bits = max(63, 10 * (languages - 1).bit_length())
     draw, best, found = np.random.default_rng(11), -1, None
-    for _ in range(100):
-        code = draw.choice(np.array([-1, 1], np.int8), (languages, 63))
-        apart = (code[:, None, :] != code[None, :, :]).sum(axis=2)
-        least = apart[~np.eye(languages, dtype=bool)].min()
+    for _ in range(max(2, min(100, 100 * 1000 ** 2 // languages ** 2))):
+        code = draw.choice(np.array([-1, 1], np.int8), (languages, bits))
+        signs, least = code.astype(np.float32), bits
+        for start in range(0, languages, 1024):
+            alike = signs[start:start + 1024] @ signs.T
+            own = np.arange(len(alike))
+            alike[own, start + own] = -bits
+            least = min(least, int(bits - alike.max()) // 2)
         if least > best:
             best, found = least, code
     return found
@@ -109,8 +116,9 @@ class LanguageModel:
     def losses(self, x: np.ndarray) -> np.ndarray:
         """Weighted mean logistic loss of every codeword, a row for each row of ``x``."""
         margins = x @ self.weights + self.bias
-        signed = margins[:, None, :] * self.code[None, :, :]
-        return (np.logaddexp(0, -signed) * self.trust).mean(axis=2)
+        # A bit that is not set costs its margin more than one that is.
+        least = (np.logaddexp(0, -margins) * self.trust).sum(axis=1, keepdims=True)
+        return (least + (margins * self.trust) @ (self.code < 0).T.astype(float)) / self.code.shape[1]
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         loss = -self.scale * self.losses(x)
@@ -127,7 +135,12 @@ def fit_vectors(x: np.ndarray, languages: list[str], steps: int = 150,
     y = code[which].astype(np.float32)
     share = np.bincount(which, minlength=len(names))
     row_weight = (len(x) / (len(names) * share[which])).astype(np.float32)[:, None]
-    fit, held = np.arange(len(x)) % 5 != 0, np.arange(len(x)) % 5 == 0
+    # Every fifth row of a language is held out, of one with fewer rows none.
+    place = np.empty(len(x), np.int64)
+    order = np.argsort(which, kind="stable")
+    place[order] = np.arange(len(x)) - np.repeat(np.cumsum(share) - share, share)
+    held = place % 5 == 4
+    fit = ~held
     w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     means = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
     rows = fit if fit.any() else held
@@ -174,7 +187,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         rows_a_language: int = ROWS_A_LANGUAGE) -> LanguageModel:
     """The model learned from a bounded sample of ``labelled``.
 
-    The ``LANGUAGES`` most frequent values of ``lang_col`` are learned. Of each about
+    Every value of ``lang_col`` is learned. Of each about
     ``rows_a_language`` texts are taken, by a hash of the text, so copies are taken or left
     together. NULL labels, and texts that are NULL or have no letter, teach nothing; a
     language that no usable text is left for is not learned. With no usable text at all the
@@ -182,8 +195,8 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    each = min(rows_a_language, SAMPLE_ROWS // max(1, len(counts)))
+    counts = rows.groupBy("lang").count().collect()
+    each = min(rows_a_language, max(LEAST_ROWS, SAMPLE_ROWS // max(1, len(counts))))
     shares = rows.sparkSession.createDataFrame(
         [(r.lang, each / r["count"]) for r in counts], "lang string, share double")
     sample = rows.join(F.broadcast(shares), "lang").where(
@@ -199,8 +212,8 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
             yield pd.DataFrame(out, columns=["lang", "x"])
 
     found = sample.mapInPandas(features, "lang string, x binary")
-    # Copies count once; the limit, far above what the shares let through, is a proven bound.
-    found = (found.distinct().orderBy(F.xxhash64("x"), "lang").limit(4 * SAMPLE_ROWS).toPandas())
+    # Copies count once.
+    found = found.distinct().orderBy(F.xxhash64("x"), "lang").toPandas()
     if not len(found):
         return LanguageModel([], np.ones((0, 1), np.int8), np.zeros((FEATURES, 1), np.float32),
                              np.zeros(1, np.float32), np.ones(1), 1.0)
