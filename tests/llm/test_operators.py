@@ -280,6 +280,16 @@ def test_more_than_64_languages_are_told_apart(spark):
     assert sum(r.lang == r.lang_pred for r in found) >= 88
 
 
+def test_a_language_of_copies_is_learned(spark):
+    copies = spark.range(200_000).select(F.concat(F.lit("kwyjibo zzyzx qophs"), F.when(F.col("id") < 9, F.lit(" ab"))
+                                                  .otherwise(F.lit(""))).alias("text"), F.lit("bb").alias("lang"))
+    rows = copies.union(spark.createDataFrame([("слово дело мир", "cc"), ("12 !", "dd")], "text string, lang string"))
+    model = language_id.fit(rows)
+    assert model.languages == ["bb", "cc"]
+    new = spark.createDataFrame([("zzyzx",), ("мир",)], "text string")
+    assert [r.lang_pred for r in language_id.identify(new, model).collect()] == ["bb", "cc"]
+
+
 def test_losses_by_definition():
     draw = np.random.default_rng(3)
     code, trust = language_id.codewords(9), draw.random(63)

@@ -188,19 +188,29 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     """The model learned from a bounded sample of ``labelled``.
 
     Every value of ``lang_col`` is learned. Of each about
-    ``rows_a_language`` texts are taken, by a hash of the text, so copies are taken or left
-    together. NULL labels, and texts that are NULL or have no letter, teach nothing; a
+    ``rows_a_language`` texts are taken, by a hash of the text; copies of a text count once. NULL labels, and texts that are NULL or have no letter, teach nothing; a
     language that no usable text is left for is not learned. With no usable text at all the
     model knows no language and every prediction is undetermined.
     """
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = rows.groupBy("lang").count().collect()
+    lettered = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    rows = lettered.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
+                           F.xxhash64(text_col).alias("of"))
+    # Copies count once: shares are of the different texts, told apart by their hashes alone.
+    hashes = rows.select("lang", "of").distinct()
+    counts = hashes.groupBy("lang").count().collect()
     each = min(rows_a_language, max(LEAST_ROWS, SAMPLE_ROWS // max(1, len(counts))))
-    shares = rows.sparkSession.createDataFrame(
-        [(r.lang, each / r["count"]) for r in counts], "lang string, share double")
-    sample = rows.join(F.broadcast(shares), "lang").where(
-        unit_hash(F.col("text")) < F.col("share")).select("lang", "text")
+    # A share that all but surely holds that many texts; the surplus is dropped afterwards.
+    drawn = each + 8 * each ** 0.5 + 16
+    spark = rows.sparkSession
+    shares = spark.createDataFrame(
+        [(r.lang, drawn / r["count"]) for r in counts], "lang string, share double")
+    near = hashes.join(F.broadcast(shares), "lang").where(
+        unit_hash(F.col("of")) < F.col("share")).select("lang", "of").toPandas()
+    near = near.sort_values(["lang", "of"]).groupby("lang").head(each)
+    taken = spark.createDataFrame(
+        [(lang, int(of)) for lang, of in zip(near["lang"], near["of"])], "lang string, of long")
+    sample = (rows.join(F.broadcast(taken), ["lang", "of"]).groupBy("lang", "of")
+              .agg(F.min("text").alias("text")).select("lang", "text"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -212,7 +222,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
             yield pd.DataFrame(out, columns=["lang", "x"])
 
     found = sample.mapInPandas(features, "lang string, x binary")
-    # Copies count once.
+    # Equal features count once.
     found = found.distinct().orderBy(F.xxhash64("x"), "lang").toPandas()
     if not len(found):
         return LanguageModel([], np.ones((0, 1), np.int8), np.zeros((FEATURES, 1), np.float32),
