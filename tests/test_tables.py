@@ -203,6 +203,25 @@ def test_streams_give_what_the_rebuild_gives(spark, sf_dir, topics, tmp_path):
     assert same(expected["shipment_events"], stored)
 
 
+def test_landings_keep_texts_whole_and_report_what_they_cut(spark, tmp_path):
+    text, topic = "x" * 300, SOURCES["orders"].topic
+    message = ('{"payload": {"op": "c", "ts_ms": 5, "source": {"ts_ms": 1, "version": "3", "txId": 5, "lsn": 9}, "after": '
+               '{"order_id": 1, "customer_id": 2, "order_date": 0, "status": "new", "shipping_method": "%s"}}}')
+    values = [(message % text,), (message % "air",)]
+    spark.createDataFrame(values, "value STRING").write.text(f"{tmp_path}/{topic}")
+    for whole in (False, True):
+        of_table, of_stream = (Settings(environment=f"{kind}{whole}", root=str(tmp_path)) for kind in ("t", "s"))
+        rebuild.land_table(spark, "orders", of_table, cut_texts=not whole)
+        jobs.start_landing(spark, "orders", of_stream, cut_texts=not whole).awaitTermination()
+        for settings in (of_table, of_stream):
+            landed = spark.read.parquet(settings.dataset(SOURCES["orders"].landing)).collect()
+            assert {r.shipping_method for r in landed} == {"air", text if whole else text[:20]}
+        cut = spark.read.parquet(of_table.dataset(SOURCES["orders"].landing) + ".cut").collect()
+        assert [(r.cut, r.raw) for r in cut] == ([] if whole else [("shipping_method", message % text)])
+    jobs.start_cut(spark, "orders", of_stream).awaitTermination()
+    assert spark.read.parquet(of_stream.dataset(f"{SOURCES['orders'].landing}.cut")).count() == 1
+
+
 def test_ttl_needs_processing_time(spark, sf_dir):
     changes = feeds.events(spark, sf_dir, streaming=True)
     with pytest.raises(ValueError):

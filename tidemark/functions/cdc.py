@@ -53,9 +53,13 @@ def _at(path: str, type_name: str = "string") -> Column:
         F.col(f"text.{path}").try_cast(type_name))
 
 
+#: Metadata texts that landings cut, and their length.
+CUT_METADATA, METADATA_LENGTH = ("connector_version", "transaction_id"), 20
+
+
 def metadata_columns(flavor: str, cut_texts: bool = True) -> list[Column]:
     """The change metadata of a Postgres or MySQL message."""
-    length = 20 if cut_texts else None
+    length = METADATA_LENGTH if cut_texts else None
     transaction = "payload.source.txId" if flavor == "postgres" else "payload.source.gtid"
     values = {
         "op": F.left(_at("payload.op"), F.lit(1)),
@@ -149,6 +153,20 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
         F.col("_error").alias("error"), F.col("_raw").alias("raw"))
 
 
+def cut_rows(parsed: DataFrame, table: str) -> DataFrame:
+    """The good messages that a landing cuts, with the names of the cut columns.
+
+    ``parsed`` holds the texts whole (``cut_texts=False``).
+    """
+    lengths = {f.name: f.length for f in SOURCES[table].fields if f.kind == "text"}
+    metadata = [n for n, kind in METADATA[SOURCES[table].flavor] if n in CUT_METADATA]
+    lengths |= dict.fromkeys(metadata, METADATA_LENGTH)
+    cut = F.concat_ws(", ", *[F.when(F.char_length(n) > length, F.lit(n))
+                              for n, length in lengths.items() if length is not None])
+    return parsed.where(F.col("_error").isNull()).select(
+        cut.alias("cut"), F.col("_raw").alias("raw")).where("cut <> ''")
+
+
 def to_message(rows: DataFrame, table: str) -> DataFrame:
     """Landing-typed rows back to change messages (``value STRING``)."""
     source = SOURCES[table]

@@ -11,16 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import DIMENSIONS, FACTS, SOURCES
 from ..config import Settings
+from ..functions.cdc import cut_rows, parse_changes
 from ..sources.topics import read_changes, read_landing, read_rows
 from . import dimensions, facts
 from .landing import land
 
 
-def land_table(spark: SparkSession, table: str, settings: Settings, **source) -> None:
-    landed, rejected = land(read_changes(spark, table, settings, **source), table)
+def land_table(spark: SparkSession, table: str, settings: Settings, *, cut_texts: bool = True,
+               **source) -> None:
+    """Write a landing, its rejected messages, and those whose texts it cuts (``.cut``)."""
+    messages = read_changes(spark, table, settings, **source)
+    landed, rejected = land(messages, table, cut_texts=cut_texts)
     target = settings.dataset(SOURCES[table].landing)
     landed.write.mode("overwrite").parquet(target)
     rejected.write.mode("overwrite").parquet(f"{target}.rejected")
+    cut = cut_rows(parse_changes(messages, table, cut_texts=False), table)
+    (cut if cut_texts else cut.limit(0)).write.mode("overwrite").parquet(f"{target}.cut")
 
 
 def build_dimension(spark: SparkSession, name: str, settings: Settings, **options) -> None:
@@ -66,10 +72,13 @@ def build_fact(spark: SparkSession, name: str, settings: Settings, *,
     rows.write.mode("overwrite").parquet(settings.dataset(FACTS[name].topic))
 
 
-def rebuild(spark: SparkSession, settings: Settings, **source) -> None:
-    """All layers in order. ``source`` says how to read the change topics."""
+def rebuild(spark: SparkSession, settings: Settings, *, cut_texts: bool = True, **source) -> None:
+    """All layers in order. ``source`` says how to read the change topics.
+
+    ``cut_texts=False`` lands texts whole instead of cut to their declared lengths.
+    """
     for table in SOURCES:
-        land_table(spark, table, settings, **source)
+        land_table(spark, table, settings, cut_texts=cut_texts, **source)
     for name in DIMENSIONS:
         build_dimension(spark, name, settings)
     for name in FACTS:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import DIMENSIONS, FACTS, SOURCES
 from ..config import Settings
-from ..functions.cdc import landed_rows, parse_changes, rejected_rows
+from ..functions.cdc import cut_rows, landed_rows, parse_changes, rejected_rows
 from ..plans import dimensions, facts
 from ..sources.sinks import merge_versions, read_versions
 from ..sources.topics import (
@@ -48,14 +48,15 @@ def _start(stream: DataFrame, name: str, settings: Settings, every: str | None,
 
 def start_landing(spark: SparkSession, table: str, settings: Settings, *,
                   every: str | None = None, sink_servers: str | None = None,
-                  **source) -> StreamingQuery:
+                  cut_texts: bool = True, **source) -> StreamingQuery:
     """A landing; runs to the end of its input unless ``every`` sets an interval.
 
     ``source`` says how to read the change topic; ``sink_servers`` writes to Kafka.
+    ``cut_texts=False`` lands texts whole.
     """
     messages = read_changes(spark, table, settings, streaming=True, **source)
-    return _start(landed_rows(parse_changes(messages, table)), SOURCES[table].landing, settings,
-                  every, sink_servers)
+    parsed = parse_changes(messages, table, cut_texts=cut_texts)
+    return _start(landed_rows(parsed), SOURCES[table].landing, settings, every, sink_servers)
 
 
 def start_rejected(spark: SparkSession, table: str, settings: Settings, *,
@@ -66,6 +67,14 @@ def start_rejected(spark: SparkSession, table: str, settings: Settings, *,
     return _start(rejected_rows(parse_changes(messages, table)), name, settings, every)
 
 
+def start_cut(spark: SparkSession, table: str, settings: Settings, *,
+              every: str | None = None, **source) -> StreamingQuery:
+    """The messages whose texts a landing cuts, with the names of the columns."""
+    messages = read_changes(spark, table, settings, streaming=True, **source)
+    parsed = parse_changes(messages, table, cut_texts=False)
+    return _start(cut_rows(parsed, table), f"{SOURCES[table].landing}.cut", settings, every)
+
+
 def start_joined_feed(spark: SparkSession, name: str, settings: Settings, *,
                       every: str | None = None) -> StreamingQuery:
     """Books with authors or services with carriers, as the feed of their dimension."""
