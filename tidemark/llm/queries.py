@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_trees,
+    conversation_repair,
     decontaminate,
+    flat_graph,
+    hard_negatives,
     language_id,
     packing,
     sharding,
@@ -117,6 +120,20 @@ def language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0,
+                               label=shifted)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": warc_revisits,
@@ -129,4 +146,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_private_surrogates": private_surrogates,
         "op9_language_codes": language_codes,
         "op10_curve_packing": curve_packing,
+        "op11_embedding_dedup": embedding_dedup,
+        "op12_repaired_conversations": repaired_conversations,
+        "op13_hard_negatives": mined_negatives,
     }
