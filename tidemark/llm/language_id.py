@@ -265,7 +265,8 @@ def predict(text: Column, model: LanguageModel, spark) -> Column:
         return pd.DataFrame({"lang_pred": langs, "score": score.clip(0, 1), "runner_up": second,
                              "ambiguous": unsure})
 
-    return run(text)
+    # A filter on a part of the result must not make Spark run the model a second time.
+    return run.asNondeterministic()(text)
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
