@@ -209,14 +209,18 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, *, id_col: str = "doc
     """
     rows = checkpointed(docs.select(F.col(id_col).alias("doc_id"),
                                     fingerprint_column(F.col(text_col)).alias("fp")))
+    return _components(rows, radius).withColumnRenamed("doc_id", id_col)
+
+
+def _components(rows: DataFrame, radius: int) -> DataFrame:
+    """``rows`` of ``doc_id, fp``, and more, with ``root`` and ``component_id``."""
     classes = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(links(classes, radius))
     placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = placed.join(smallest, "root").select("fp", "root", "component_id")
-    return rows.join(of_class, "fp").select(
-        F.col("doc_id").alias(id_col), "fp", "root", "component_id")
+    return rows.join(of_class, "fp").select(*rows.columns, "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, *, id_col: str = "doc_id",
@@ -226,12 +230,15 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, *, id_col: str =
     Of repeated rows with that id one stays; a component whose ids are all NULL keeps one
     row. Columns that clash with names used inside come back unchanged.
     """
-    inner = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"),
+    doc, text = F.col(id_col), F.col(text_col)
+    # A row is known by hashes of its id and its text, so texts are read for their fingerprints once.
+    keys = (F.xxhash64(doc, doc.isNull()), F.xxhash64(text, text.isNull()))
+    rows = checkpointed(docs.select(
+        doc.alias("doc_id"), keys[0].alias("k1"), keys[1].alias("k2"), fingerprint_column(text).alias("fp")))
+    found = _components(rows, radius).groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "k1", "k2")).alias("first"))
+    kept = found.select(F.col("first.k1").alias("_k1"), F.col("first.k2").alias("_k2"))
+    inner = docs.select(keys[0].alias("_k1"), keys[1].alias("_k2"),
                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    found = near_duplicates(inner, radius, id_col="_doc", text_col="_text")
-    kept = (found.groupBy("root")
-            .agg(F.min(F.struct(F.col("_doc").isNull(), F.col("_doc"), F.col("fp"))).alias("first"))
-            .select("first.fp", F.col("first._doc").alias("_keep")))
-    one = (inner.withColumn("fp", fingerprint_column(F.col("_text"))).join(kept, "fp")
-           .where(F.col("_doc").eqNullSafe(F.col("_keep"))).dropDuplicates(["fp"]))
+    one = inner.join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
     return one.select("_row.*")
