@@ -33,11 +33,11 @@ END_ID = 1
 DIMENSIONS, BITS = 3, 12
 #: Size of the hashed count vector that is projected.
 BUCKETS = 512
-#: Encoded pieces that a worker keeps in each of two generations, and the longest of them.
+#: Encoded pieces that a worker keeps in each of two generations (some 100 MB each), and the
+#: longest of them.
 CACHED, CACHED_CHARS = 500_000, 40
 
 
-
 def _below(limit: int, kind: str) -> str:
     """A character class of the code points below ``limit`` in a Unicode category."""
     return "".join(f"\\u{c:04x}" for c in range(limit) if unicodedata.category(chr(c))[0] == kind)
@@ -47,7 +47,9 @@ def _below(limit: int, kind: str) -> str:
 _L, _N = _below(0x250, "L"), _below(0x250, "N")
 _PIECE = re.compile(
     rf"[{_L}]+|[{_N}]|'(?:re|ve|ll|[stmd])|[^\t-\r \x85\xa0{_L}{_N}]+")
-_BEYOND = re.compile("[^\x00-\u024f]|<\\|")
+# Letters below U+0250 whose lower case lies beyond are left to the tokenizer as well.
+_RISING = "".join(chr(c) for c in range(0x250) if any(ord(low) >= 0x250 for low in chr(c).lower()))
+_BEYOND = re.compile(f"[^\x00-\u024f]|[{_RISING}]|<\\|")
 
 
 class WordEncoder:
