@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import unit_hash
+from tidemark.llm.common import checkpointed, unit_hash
 
 #: Bound of the sample: documents of each label.
 ROWS_A_LABEL = 4000
@@ -101,8 +101,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows_a_label: int = ROWS_A_LABEL,
     """The model learned from documents with a label.
 
     Labels that are NULL, or without a document, teach nothing; a document labelled more than
-    once counts as toxic if any label says so. Texts without words teach nothing. Repeated
-    documents are repeated in the sample. Without usable labels the model calls nothing toxic.
+    once counts as toxic if any label says so. Texts without words teach nothing. Equal rows
+    count once, and of each label at most ``2 * rows_a_label`` rows are learned from, however
+    many rows an id has. Without usable labels the model calls nothing toxic.
     """
     marks = (labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("doc_id"))
@@ -115,8 +116,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows_a_label: int = ROWS_A_LABEL,
     sample = marks.where(
         unit_hash(F.col("doc_id")) < F.when(F.col("toxic"), share.get(True, 1.0))
         .otherwise(share.get(False, 1.0))).orderBy(F.xxhash64("doc_id")).limit(3 * rows_a_label)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
-        F.broadcast(sample), "doc_id").select("toxic", "text")
+    marked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                         F.xxhash64(text_col).alias("of")).join(F.broadcast(sample), "doc_id")
+    # An id may have any number of rows: equal ones count once, and of the others the bound
+    # holds for each label again, by a hash.
+    narrow = marked.select("toxic", "doc_id", "of").distinct()
+    taken = None
+    for toxic in (True, False):
+        some = narrow.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id", "of")).limit(
+            2 * rows_a_label)
+        taken = some if taken is None else taken.unionByName(some)
+    texts = (marked.join(F.broadcast(checkpointed(taken)), ["toxic", "doc_id", "of"])
+             .groupBy("toxic", "doc_id", "of").agg(F.min("text").alias("text")).select("toxic", "text"))
 
     def occurring(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
