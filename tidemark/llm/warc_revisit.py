@@ -56,13 +56,22 @@ def _header(headers: Column, name: str) -> Column:
 
 
 def _normal(headers: Column) -> Column:
-    """Headers with names in lower case, sorted; of one name the greatest value is kept."""
+    """Headers with names in lower case, sorted by name; lines of one name stay in their order."""
     low = F.transform(F.coalesce(headers, F.array().cast(_HEADERS)),
                       lambda h: F.struct(F.lower(h["name"]).alias("name"), h["value"].alias("value")))
-    low = F.array_sort(F.filter(low, lambda h: h["name"].isNotNull() & h["value"].isNotNull()))
-    return F.filter(F.zip_with(low, F.slice(low, 2, F.greatest(F.size(low), F.lit(1))),
-                               lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-                    lambda p: p["b"].isNull() | (p["a"]["name"] != p["b"]["name"]))["a"]
+    return _by_name(F.filter(low, lambda h: h["name"].isNotNull() & h["value"].isNotNull()))
+
+
+def _by_name(headers: Column) -> Column:
+    placed = F.array_sort(F.transform(headers, lambda h, at: F.struct(
+        h["name"].alias("name"), at.alias("at"), h["value"].alias("value"))))
+    return F.transform(placed, lambda h: F.struct(h["name"].alias("name"), h["value"].alias("value")))
+
+
+def _once(rows: DataFrame, key: str) -> DataFrame:
+    """One row for each key, the greatest; equal rows are combined in the map tasks."""
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(key, "_row.*")
 
 
 def _latest(records: DataFrame) -> DataFrame:
@@ -109,9 +118,11 @@ def _latest(records: DataFrame) -> DataFrame:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Every revisit with the response it stands for.
 
-    ``records`` has ``record_id`` (unique), ``url``, ``ts``, ``revisit`` (NULL counts as
+    ``records`` has ``record_id``, ``url``, ``ts``, ``revisit`` (NULL counts as
     false), ``headers`` (``array<struct<name, value>>``) and ``digest`` of the body; further
-    columns are not read. Returns ``record_id, url`` (canonical), ``ts, base_id, outcome,
+    columns are not read. Of revisits, or of responses, with one id one counts, so repeated
+    rows are one. A name may have several header lines; a permitted header of the revisit
+    takes the place of all lines of that name, and validators are compared by their first line. Returns ``record_id, url`` (canonical), ``ts, base_id, outcome,
     digest, headers``, one row a revisit. ``outcome`` is
 
     * ``resolved``: the validators agree, or neither side has one of a kind the other has;
@@ -129,14 +140,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.coalesce("revisit", F.lit(False)).alias("revisit"), "digest",
         _normal(F.col("headers")).alias("headers"))
     timed = plain.where("url IS NOT NULL AND ts IS NOT NULL")
-    met = _latest(timed.select("url", "ts", "revisit", "record_id")).where("revisit").select(
-        "record_id", "base_id")
-    revisits = plain.where("revisit").join(met, "record_id", "left")
+    met = _once(_latest(timed.select("url", "ts", "revisit", "record_id")).where("revisit").select(
+        "record_id", "base_id"), "record_id")
+    revisits = _once(plain.where("revisit"), "record_id").join(met, "record_id", "left")
     # Copied by each revisit, a response may be wanted very often: joins of unique keys to
     # many rows, which adaptive execution splits.
-    bases = timed.where("NOT revisit").select(
+    bases = _once(timed.where("NOT revisit").select(
         F.col("record_id").alias("base_id"), F.col("digest").alias("base_digest"),
-        F.col("headers").alias("base_headers"))
+        F.col("headers").alias("base_headers")), "base_id")
     both = revisits.join(bases, "base_id", "left")
 
     def agrees(name: str) -> Column:
@@ -147,7 +158,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     outcome = F.when(F.col("base_id").isNull(), "orphan").when(valid, "resolved").otherwise("mismatch")
     newer = F.filter("headers", lambda h: h["name"].isin(*PERMITTED))
     kept = F.filter("base_headers", lambda b: ~F.exists(newer, lambda h: h["name"] == b["name"]))
-    merged = F.array_sort(F.concat(kept, newer))
+    merged = _by_name(F.concat(kept, newer))
     return both.select(
         "record_id", "url", "ts", "base_id", outcome.alias("outcome"),
         F.when(outcome == "resolved", F.col("base_digest")).alias("digest"),
