@@ -56,6 +56,9 @@ class _Map:
     def iterator(self):
         return iter(list(self.rows.items()))
 
+    def clear(self):
+        self.rows = {}
+
 
 class Harness:
     """Also the handle and the timer values that the processor sees."""

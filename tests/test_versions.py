@@ -1,4 +1,4 @@
-"""The reference's version and consolidation cases, in batch and streaming form."""
+"""Version and consolidation cases, in batch and streaming form."""
 
 import json
 import random
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import END_OF_TIME as END
 from tidemark.operators import scd2
 from tidemark.streaming.processors import (
+    AsOfJoin,
     Consolidator,
     LatestStateJoin,
     ParentChanges,
@@ -157,10 +158,81 @@ def test_consolidation_late_closure():
     assert [r[2:] for r in h.clock(100)] == [(10, END), (10, 90)]
 
 
-def test_consolidation_in_one_batch_ignores_order():
+@pytest.mark.parametrize("rows", [[(10, 19)], [(10, 49)], [(10, 50)], [(10, 90)], [(10, 90), (10, 19)], []])
+@pytest.mark.parametrize("apart", [False, True])
+def test_consolidation_does_not_depend_on_batches(rows, apart):
     h = Harness(Consolidator(50), "A")
-    h.send((10, 19, "{}"), (10, END, "{}"), columns=CONSOLIDATION)
-    assert [r[2:] for r in h.clock(500)] == [(10, 19)]
+    rows = [(*r, "{}") for r in [*rows, (10, END)]]
+    for part in [[r] for r in rows] if apart else [rows]:
+        h.send(*part, columns=CONSOLIDATION)
+    got = [r[2:] for r in h.clock(500)]
+    first = min(e for _, e, _ in rows)
+    assert got == ([(10, END)] if first == END or first + 1 > 50 else []) + ([(10, first)] if first != END else [])
+
+
+JOINED = ["id", "ts", "stop", "revision", "payload"]
+
+
+def version(start, stop=END):
+    return None, start, stop, None, f"v{start}"
+
+
+def fact(name, ts, revision=1):
+    return name, ts, None, revision, f"{name}.{revision}"
+
+
+def test_fact_waits_for_the_dimension():
+    h = Harness(AsOfJoin())
+    h.send(fact("a", 150), fact("b", 250), fact("c", 50), columns=JOINED)
+    assert h.clock(40) == []
+    h.send(version(100), columns=JOINED)
+    assert h.clock(120) == [("c.1", None)]
+    h.send(version(200), version(100, 199), columns=JOINED)
+    assert h.clock(200)[1:] == [("a.1", "v100")]
+    assert h.clock(300)[2:] == [("b.1", "v200")]
+    # A fact from behind the watermark is joined at once, with the version of its time.
+    h.send(fact("d", 120, 7), columns=JOINED)
+    assert h.output[3:] == [("d.7", "v100")]
+
+
+def test_fact_meets_no_version_that_has_ended():
+    h = Harness(AsOfJoin())
+    h.send(version(100), version(100, 199), fact("a", 199), fact("b", 198), columns=JOINED)
+    assert sorted(h.clock(500)) == [("a.1", None), ("b.1", "v100")]
+    h = Harness(AsOfJoin(inclusive_end=True))
+    h.send(version(100, 199), fact("a", 199), columns=JOINED)
+    assert h.clock(500) == [("a.1", "v100")]
+
+
+def test_patience_gives_late_versions_a_chance():
+    h = Harness(AsOfJoin(patience_ms=100))
+    h.send(fact("a", 50), fact("b", 60), fact("b", 60, 2), columns=JOINED)
+    assert h.clock(90) == []
+    h.send(version(10), columns=JOINED)
+    assert sorted(h.output) == [("a.1", "v10"), ("b.2", "v10")]
+    h.send(fact("c", 5), columns=JOINED)
+    assert h.clock(104)[2:] == [] and h.clock(105)[2:] == [("c.1", None)]
+
+
+@pytest.mark.parametrize("batches", [1, 3, 20])
+def test_as_of_join_equals_a_walk_in_any_batches(batches):
+    rng = random.Random(batches)
+    starts = sorted(rng.sample(range(1000), 30))
+    log = [(s, version(s)) for s in starts]
+    log += [(b, version(a, b - 1)) for a, b in zip(starts, starts[1:])]
+    facts = [(rng.randrange(1000), fact(f"f{k}", rng.randrange(1000))) for k in range(200)]
+    h, now = Harness(AsOfJoin()), 0
+    for k in range(batches):
+        low, high = 1000 * k // batches, 1000 * (k + 1) // batches
+        rows = [r for at, r in log + facts if low <= at < high]
+        rng.shuffle(rows)
+        h.send(*rows, columns=JOINED)
+        h.clock(high - 1)
+    got = dict(h.clock(5000))
+    for _, (name, ts, *_) in facts:
+        before = [s for s in starts if s <= ts]
+        valid = before and (before[-1] == starts[-1] or ts < starts[len(before)] - 1)
+        assert got[f"{name}.1"] == (f"v{before[-1]}" if valid else None)
 
 
 def test_batch_consolidation_cases(spark):

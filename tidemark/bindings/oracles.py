@@ -468,7 +468,13 @@ def batch_oracles() -> dict[str, str]:
         # A replay of a whole stream gives what the batch operators give.
         "stream_landing_orders": landing("orders"),
         "stream_scd2_events": EVENT_CHANGELOG,
-        "stream_consolidated_events": event_versions(),
+        "stream_late_changes": f"SELECT user_id, ts_ms FROM ({EVENT_FEED})",
+        "stream_consolidated_events": EVENT_WINDOWS,
+        "stream_shipment_events_joined":
+            "SELECT event_id, shipment_id, status, location, order_id, service_id, "
+            "shipping_status, actual_delivery_date::VARCHAR AS actual_delivery_date, ts_ms "
+            f"FROM ({EVENTS_JOINED})",
+        "stream_waiting_order_items": F_ORDER_ITEMS,
         "stream_latest_join":
             f"SELECT book_id, author_id, author_last_name, op, ts_ms, lsn FROM ({BOOKS_AUTHORS})",
         "stream_fact": pit('order_item_id, order_id, book_id, ts_ms, o."orderSk", '

@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 
 # Fixed value: open versions end at 9999-12-31T23:59:59Z, in epoch milliseconds.
 END_OF_TIME = 253402300799000
+# Changes of other times than 1678 to 2261 are implausible, and beyond what pandas can hold.
+FIRST_MS, LAST_MS = -9_214_646_400_000, 9_214_646_400_000
 
 
 @dataclass(frozen=True)
@@ -19,7 +21,8 @@ class Settings:
     """Tunable parameters; the defaults are the reference deployment's values.
 
     ``state_ttl_ms`` of ``None`` keeps the current version of a key for good,
-    so that a late closing change always finds the version it closes.
+    so that a late closing change always finds the version it closes. ``patience_ms`` is how
+    long, in event time, a fact without a valid version waits for one that comes late.
     """
 
     environment: str | None = None
@@ -29,6 +32,7 @@ class Settings:
     buffer_ms: int = 10_000
     window_ms: int = 100_000
     state_ttl_ms: int | None = None
+    patience_ms: int = 0
     lookback: str = "36500 days"
     order_grace_ms: int = 100
     batch_rows: int = 1000

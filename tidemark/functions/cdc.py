@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..catalog import LANDED_TYPES, METADATA, SOURCES, Field
+from ..config import FIRST_MS, LAST_MS
 from .columns import (
     days_to_date,
     decimal_of_digits,
@@ -131,6 +132,7 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
     error = (
         F.when(F.col(CORRUPT).isNotNull(), "malformed message")
         .when(F.col("op").isNull() | F.col("ts_ms").isNull(), "no operation or time")
+        .when(~F.col("ts_ms").between(FIRST_MS, LAST_MS), "implausible time")
         .when(reduce(or_, [F.col(n).isNull() for n in required]),
               F.concat(F.lit("missing "), absent))
     )
