@@ -447,6 +447,8 @@ def batch_oracles() -> dict[str, str]:
         "pit_orders": pit('order_item_id, order_id, book_id, ts_ms, o."orderSk", '
                           'o.status AS "orderStatus"'),
         "pit_orders_inclusive": pit('order_item_id, order_id, ts_ms, o."orderSk"', "<="),
+        "pit_orders_ranges": pit('order_item_id, order_id, book_id, ts_ms, o."orderSk", '
+                                 'o.status AS "orderStatus"'),
         "fact_order_items": F_ORDER_ITEMS,
         "fact_shipment_events": F_SHIPMENT_EVENTS,
         "unmatched_items": UNMATCHED,

@@ -80,6 +80,26 @@ def point_in_time_join(
     ``keys_from``, with columns ``on[0]`` and ``ts``, may name a cheaper frame with keys
     distributed as in the facts, and ``size_of`` one of about their size.
     """
+    fact_key, dim_key = on
+    if how != "inner":
+        # Rows without key or time match nothing. Kept out of the exchange, they pile up nowhere.
+        known = F.col(fact_key).isNotNull() & F.col(ts).isNotNull()
+        unknown = facts.where(~known)
+        joined = _point_in_time_join(
+            facts.where(known), dimension, on, ts, inclusive_end, disjoint, versions_from, keys_from,
+            dimension_rows, rows_per_cut, rows_per_part, how, size_of)
+        return joined.unionByName(unknown, allowMissingColumns=True)
+    return _point_in_time_join(
+        facts, dimension, on, ts, inclusive_end, disjoint, versions_from, keys_from, dimension_rows,
+        rows_per_cut, rows_per_part, how, size_of)
+
+
+def _point_in_time_join(
+    facts: DataFrame, dimension: DataFrame, on: tuple[str, str], ts: str, inclusive_end: bool,
+    disjoint: bool, versions_from: DataFrame | None, keys_from: DataFrame | None,
+    dimension_rows: int | None, rows_per_cut: int, rows_per_part: int, how: str,
+    size_of: DataFrame | None,
+) -> DataFrame:
     fact_key, dim_key = on
     starts = dimension if versions_from is None else versions_from
     starts = starts.select(dim_key, "validFrom")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,11 @@ def live_rows(changes: DataFrame, key: str, *, ts: str = "ts_ms", op: str = "op"
     return alive.select("__row.*", ts).select(*changes.columns)
 
 
+def narrow(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Only the columns that are kept, and those that put changes in order."""
+    return changes.select(*columns, "op", "ts_ms", *tie_columns(changes))
+
+
 def event_rows(changes: DataFrame, key: str, which: str) -> DataFrame:
     if which not in ("live", "all"):
         raise ValueError(f"unknown changes: {which}")
@@ -61,7 +68,8 @@ def f_order_items(
     not deleted, as it last was and at the time of its creation; ``"all"`` one for each
     change other than a delete.
     """
-    rows = event_rows(items, "order_item_id", changes).select(
+    needed = ("order_item_id", "order_id", "book_id", "quantity", "price_at_purchase", "discount")
+    rows = event_rows(narrow(items, needed), "order_item_id", changes).select(
         "order_item_id", "order_id", "book_id", "quantity", "ts_ms",
         F.col("price_at_purchase").cast("double").alias("priceAtPurchase"),
         F.col("discount").cast("double").alias("discount"))
@@ -104,7 +112,8 @@ def events_with_shipments(events: DataFrame, shipments: DataFrame, *,
     state = latest_state(shipments.select("shipment_id", *SHIPMENT_COLUMNS, "ts_ms",
                                           "emitted_ts_ms"), "shipment_id")
     state = state.select("shipment_id", *SHIPMENT_COLUMNS)
-    kept = event_rows(events, "event_id", changes).select("event_id", "shipment_id", "status", "location", "ts_ms")
+    needed = ("event_id", "shipment_id", "status", "location")
+    kept = event_rows(narrow(events, needed), "event_id", changes).select(*needed, "ts_ms")
     return join_state(kept, state, "shipment_id", spread_by="event_id", state_rows=shipment_rows)
 
 
