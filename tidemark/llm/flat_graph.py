@@ -37,8 +37,9 @@ REACH_BELOW = 0.03
 SHARD_ROWS, GROUP_ROWS = 1024, 4096
 #: Rows the medoids are fitted on, and the most medoids there are.
 SAMPLE_ROWS, MAX_MEDOIDS = 20_000, 4096
-#: A node joins the shards of medoids that are less similar than its nearest by this at most.
-MARGIN, MAX_MARGIN = 0.1, 0.45
+#: A node joins the shards of medoids that are less similar than its nearest by this at most,
+#: to begin with, and when the audit asks for more.
+MARGIN, MAX_MARGIN = 0.05, 0.45
 #: Medoids that are closer than that would split near-duplicates at random.
 MEDOIDS_APART = 0.85
 #: Out-degree, candidates that are pruned to it, and by how much nearer a neighbour must be.
