@@ -20,8 +20,7 @@ def test_draws_agree_as_often_as_weights_overlap(spark, n):
                                         (F.col("id") < n).alias("a"))
     shared = spark.createDataFrame([(-1, float(heavy), a) for a in (True, False)], private.schema)
     terms = private.unionByName(shared).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    value = terms.select("k", "a", weighted_fingerprint.draw_value(
-        F.col("t"), F.log("w"), F.col("k")).alias("v"))
+    value = weighted_fingerprint.with_draws(terms, F.col("t"), F.log("w"), {"v": F.col("k")})
     same = value.groupBy("k").agg(F.min(F.when(F.col("a"), F.col("v"))).alias("x"),
                                   F.min(F.when(~F.col("a"), F.col("v"))).alias("y")).where("x = y").count()
     assert abs(same / draws - want) < 4 * (want * (1 - want) / draws) ** 0.5

@@ -217,9 +217,9 @@ def test_pieces_encode_like_the_whole(text):
 def test_collision_rate_is_generalised_jaccard(spark):
     a, b = {"x": 3, "y": 1, "z": 8}, {"x": 1, "y": 1, "w": 4, "z": 6}
     rows = [(s, t, float(w)) for s, of in (("a", a), ("b", b)) for t, w in of.items()]
-    drawn = (spark.createDataFrame(rows, "s string, t string, w double")
-             .crossJoin(spark.range(4000).withColumnRenamed("id", "k"))
-             .withColumn("v", weighted_fingerprint.draw_value(F.xxhash64("t"), F.log("w"), F.col("k")))
+    terms = spark.createDataFrame(rows, "s string, t string, w double").crossJoin(
+        spark.range(4000).withColumnRenamed("id", "k"))
+    drawn = (weighted_fingerprint.with_draws(terms, F.xxhash64("t"), F.log("w"), {"v": F.col("k")})
              .groupBy("k").pivot("s", ["a", "b"]).agg(F.min("v")))
     keys = a.keys() | b.keys()
     want = sum(min(a.get(t, 0), b.get(t, 0)) for t in keys) / sum(max(a.get(t, 0), b.get(t, 0)) for t in keys)
