@@ -56,6 +56,12 @@ def test_no_pairs_of_all_rows(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_constraints_read_each_table_once(spark, sf_dir):
+    text = plan(QUERIES["dq_constraints"](spark, sf_dir))
+    assert text.count("FileScan") == 9 and text.count("Exchange") == 2
+    assert "SortAggregate" not in text
+
+
 def test_delivery_counts_each_shipment_once(spark, sf_dir):
     counted = QUERIES["delivery_time_by_service"](spark, sf_dir).agg({"shipments": "sum"}).first()[0]
     facts = QUERIES["fact_shipment_events"](spark, sf_dir)

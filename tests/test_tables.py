@@ -90,6 +90,15 @@ def test_quality_rules_find_what_is_wrong(spark):
         "order_items.price_negative": 1, "order_items.discount_negative": 1,
         "order_items.order_id+book_id_not_unique": 1,
         "order_items.order_id_without_orders": 1}
+    # NULL refers to nothing and equals nothing; an empty parent leaves every key without one.
+    empty = quality.constraint_report({"order_items": spark.sql(
+        "SELECT id AS order_item_id, CAST(NULL AS BIGINT) AS order_id, 7L AS book_id, 1 AS quantity, "
+        "1.0BD AS price_at_purchase, 0BD AS discount FROM range(5)"), "orders": orders.limit(0),
+        "books": spark.sql("SELECT 7L book_id, 3L author_id, 'i' isbn, 1BD price, 1 stock UNION ALL "
+                           "SELECT 8L, 3L, 'i', -1BD, NULL")})
+    assert {r["rule"]: r["violations"] for r in empty.where("violations > 0").collect()} == {
+        "books.price_negative": 1, "books.isbn_not_unique": 1}
+    assert empty.count() == 10
     broken = quality.invalid_rows(items, "order_items").collect()
     assert sorted((r["order_item_id"], tuple(r["broken"])) for r in broken) == [
         (1, ("quantity_not_positive",)), (2, ("price_negative", "discount_negative"))]

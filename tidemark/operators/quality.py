@@ -59,47 +59,100 @@ REFERENCES: tuple[Reference, ...] = (
 )
 
 
-def _long(counts: DataFrame, names: Sequence[str]) -> DataFrame:
-    return counts.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").cast("bigint").alias("violations"))
-        for n in names])).alias("r")).select("r.*")
-
-
-def value_report(rows: DataFrame, table: str) -> DataFrame:
-    """Violations per value rule; one pass over the table for all its rules."""
-    rules = {f"{table}.{n}": c for n, c in value_rules()[table].items()}
-    return _long(rows.agg(*[F.count_if(c).alias(n) for n, c in rules.items()]), list(rules))
+def _value(rows: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Fields for the values of all ``columns``; different values give different fields.
 
+    One or two whole numbers stay numbers, all else becomes one text.
+    """
+    types = dict(rows.select(*columns).dtypes)
+    if len(columns) <= 2 and set(types.values()) <= {"bigint", "int"}:
+        return {n: F.col(c) for n, c in zip(("number", "second"), columns)}
+    if len(columns) == 1:
+        return {"text": F.col(columns[0])}
+    return {"text": F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))}
 
-def uniqueness_report(rows: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Values that more than one key holds. Minimum and maximum combine in the map tasks."""
-    key = SOURCES[table].key
-    shared = (
-        rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
-        .groupBy(*columns)
-        .agg(F.min(key).alias("low"), F.max(key).alias("high"))
-        .where("low <> high")
-    )
-    rule = f"{table}.{'+'.join(columns)}_not_unique"
-    return _long(shared.agg(F.count("*").alias(rule)), [rule])
 
-
-def reference_report(child: DataFrame, parent: DataFrame, reference: Reference) -> DataFrame:
-    """Distinct foreign keys without a parent; distinct first, so hot keys vanish."""
-    wanted = child.select(F.col(reference.column).alias("k")).where("k IS NOT NULL").distinct()
-    known = parent.select(F.col(SOURCES[reference.parent].key).alias("k")).distinct()
-    rule = f"{reference.table}.{reference.column}_without_{reference.parent}"
-    missing = wanted.join(known, "k", "left_anti")
-    return _long(missing.agg(F.count("*").alias(rule)), [rule])
+@dataclass(frozen=True)
+class _Rule:
+    """A rule counts the groups (or, for value rules, the rows) that break it."""
+
+    name: str
+    counted: Column
+
+
+class _Entries:
+    """What the rows of each table tell about the rules, in one shape for all rules.
+
+    An entry belongs to a group: ``scope, number, second, text``. A uniqueness rule groups by the
+    values that must be unique and keeps the lowest and highest key; all references to one
+    parent share the scope of its keys, with one bit of ``wanted`` for each of them; a broken
+    value rule counts rows in a group of its own.
+    """
+
+    SCHEMA = ("scope INT, number BIGINT, second BIGINT, text STRING, low BIGINT, high BIGINT, "
+              "known BOOLEAN, wanted BIGINT, broken BIGINT")
+    REST = {"known": False, "wanted": 0, "broken": 0}
+
+    def __init__(self, tables: Mapping[str, DataFrame]) -> None:
+        self.rules: list[_Rule] = []
+        self.of: dict[str, list[Column]] = {t: [] for t in tables}
+        scopes = iter(range(1 << 30))
+        for table, rules in value_rules().items():
+            for name, condition in rules.items() if table in tables else ():
+                scope = next(scopes)
+                self._add(table, scope, condition, broken=F.lit(1))
+                self._rule(f"{table}.{name}", scope, F.col("broken"))
+        for table, columns in UNIQUE:
+            if table in tables:
+                scope, key = next(scopes), F.col(SOURCES[table].key)
+                present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+                self._add(table, scope, present, low=key, high=key, **_value(tables[table], columns))
+                self._rule(f"{table}.{'+'.join(columns)}_not_unique", scope,
+                           (F.col("low") < F.col("high")).cast("bigint"))
+        for parent in dict.fromkeys(r.parent for r in REFERENCES):
+            used = [r for r in REFERENCES if r.parent == parent and {r.table, parent} <= set(tables)]
+            if used:
+                self._references(parent, used, next(scopes))
+
+    def _references(self, parent: str, used: Sequence[Reference], scope: int) -> None:
+        key = F.col(SOURCES[parent].key)
+        self._add(parent, scope, key.isNotNull(), number=key, known=F.lit(True))
+        for bit, r in enumerate(used):
+            value = F.col(r.column)
+            self._add(r.table, scope, value.isNotNull(), number=value, wanted=F.lit(1 << bit))
+            self._rule(f"{r.table}.{r.column}_without_{parent}", scope, (
+                ~F.col("known") & (F.col("wanted").bitwiseAND(1 << bit) != 0)).cast("bigint"))
+
+    def _rule(self, name: str, scope: int, counted: Column) -> None:
+        self.rules.append(_Rule(name, F.when(F.col("scope") == scope, counted)))
+
+    def _add(self, table: str, scope: int, given: Column, **values: Column) -> None:
+        fields = [given.alias("given"), F.lit(scope).alias("scope")]
+        for field in self.SCHEMA.split(", ")[1:]:
+            name, kind = field.split()
+            fields.append(values.get(name, F.lit(self.REST.get(name))).cast(kind).alias(name))
+        self.of[table].append(F.struct(*fields))
 
 
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All rules whose tables are given: ``rule``, ``violations``."""
-    reports = [value_report(tables[t], t) for t in value_rules() if t in tables]
-    reports += [uniqueness_report(tables[t], t, c) for t, c in UNIQUE if t in tables]
-    reports += [reference_report(tables[r.table], tables[r.parent], r)
-                for r in REFERENCES if r.table in tables and r.parent in tables]
-    return reduce(DataFrame.unionByName, reports)
+    """All rules whose tables are given: ``rule``, ``violations``.
+
+    Value rules count rows; uniqueness rules count values that more than one key holds;
+    references count distinct foreign keys without a parent. NULL is no value and refers to
+    nothing. Each table is read once, for all its rules together, and all rules of all tables
+    share one exchange, which values enter once a map task, so hot values vanish before it.
+    """
+    entries = _Entries(tables)
+    parts = [tables[t].select(F.explode(F.array(*e)).alias("e")).select("e.*").where("given")
+             for t, e in entries.of.items() if e]
+    groups = reduce(DataFrame.unionByName, parts).groupBy("scope", "number", "second", "text").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or("known").alias("known"),
+        F.bit_or("wanted").alias("wanted"), F.sum("broken").alias("broken"))
+    counts = groups.agg(*[F.coalesce(F.sum(r.counted), F.lit(0)).alias(f"r{i}")
+                          for i, r in enumerate(entries.rules)])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(r.name).alias("rule"), F.col(f"r{i}").cast("bigint").alias("violations"))
+        for i, r in enumerate(entries.rules)])).alias("r")).select("r.*")
 
 
 def invalid_rows(rows: DataFrame, table: str) -> DataFrame:
