@@ -13,7 +13,8 @@ from tidemark.operators.scd2 import as_changelog, consolidate, consolidate_in_wi
 from tidemark.operators.upsert import new_rows, upsert_versions
 from tidemark.plans import dimensions, facts, rebuild
 from tidemark.plans.dimensions import to_warehouse
-from tidemark.sources.sinks import append_new, merge_versions, read_versions
+from tidemark.sources.sinks import append_new
+from tidemark.sources.versions import compact, manifest, merge_versions, read_versions, vacuum
 from tidemark.sources.topics import read_landing, read_rows
 from tidemark.streaming import jobs
 from tidemark.streaming.operators import stream_changelog
@@ -68,6 +69,60 @@ def test_version_table_merges(spark, tmp_path):
     assert rows(read_versions(spark, path, schema, "sk")) == expected
 
 
+def test_version_table_commits(spark, tmp_path):
+    path, stream = str(tmp_path / "dim"), "sql.streaming.queryId"
+    context = spark.sparkContext
+
+    def df(*data):
+        return spark.createDataFrame(list(data), DIM)
+
+    schema, expected = df(("x", "x", 1, 1)).schema, {}
+    context.setLocalProperty(stream, "first")
+    try:
+        for n in range(6):
+            opened = [(f"{n}-{i}", "v", n, END) for i in range(5)]
+            ended = [(f"{n - 1}-{i}", "v", n - 1, n + 9) for i in range(5)] if n else []
+            expected.update({r[0]: r for r in ended + opened})
+            for _ in range(2):  # every batch comes twice
+                merge_versions(df(*ended, *opened), path, "sk", number=n, buckets=8, compact_from=None)
+        assert manifest(spark, path).number == 5
+        assert rows(read_versions(spark, path, schema, "sk")) == sorted(expected.values())
+        # A new checkpoint starts from 0 with another id: nothing is taken for a repetition.
+        context.setLocalProperty(stream, "second")
+        merge_versions(df(("new", "v", 1, END)), path, "sk", number=0)
+        expected["new"] = ("new", "v", 1, END)
+    finally:
+        context.setLocalProperty(stream, None)
+    before = manifest(spark, path)
+    assert before.buckets == 8 and before.merged == {"first": 5, "second": 0}
+    # One key touches one bucket; the others' open files stay where they were.
+    merge_versions(df(("new", "v", 1, 4)), path, "sk", compact_from=None)
+    expected["new"] = ("new", "v", 1, 4)
+    after = manifest(spark, path)
+    assert sum(after.opened.get(b) != c for b, c in before.opened.items()) == 1
+    # A reader that began before a compaction finishes on its own files.
+    reader = read_versions(spark, path, schema, "sk")
+    compact(spark, path, schema, "sk")
+    assert len(manifest(spark, path).closed) < len(after.closed)
+    assert rows(reader) == sorted(expected.values())
+    vacuum(spark, path, keep=1)
+    assert rows(read_versions(spark, path, schema, "sk")) == sorted(expected.values())
+    merge_versions(spark.createDataFrame([], schema), path, "sk")  # an empty batch
+    assert rows(read_versions(spark, path, schema, "sk")) == sorted(expected.values())
+
+
+def test_manifest_has_one_writer(spark, tmp_path, monkeypatch):
+    from tidemark.sources import versions
+    path = str(tmp_path / "dim")
+    one = spark.createDataFrame([("a", "n", 1, END)], DIM)
+    merge_versions(one, path, "sk")
+    monkeypatch.setattr(versions, "manifest", lambda *_: versions.Manifest())
+    with pytest.raises(RuntimeError, match="another writer"):
+        merge_versions(one, path, "sk")
+    monkeypatch.undo()
+    assert rows(read_versions(spark, path, one.schema, "sk")) == [("a", "n", 1, END)]
+
+
 def test_warehouse_types(spark, sf_dir):
     services = dimensions.d_carrier_services(feeds.landed(spark, sf_dir, "shipping_services"),
                                              feeds.landed(spark, sf_dir, "carriers"))

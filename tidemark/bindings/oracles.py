@@ -453,6 +453,7 @@ def batch_oracles() -> dict[str, str]:
         "fact_shipment_events": F_SHIPMENT_EVENTS,
         "unmatched_items": UNMATCHED,
         "upsert_dim": D_ORDERS,
+        "dim_orders_merged": D_ORDERS,
         "insert_ignore_fact": INSERT_IGNORE,
         "corrupt_quarantine": QUARANTINE,
         "landing_rejected": REJECTED,

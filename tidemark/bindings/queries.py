@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..catalog import DIMENSIONS
+from ..config import END_OF_TIME, scratch_dir
 from ..functions.cdc import landed_rows, parse_changes, rejected_rows, to_message
 from ..functions.columns import acceptance_window_end, surrogate_key
 from ..operators import scd2
@@ -18,6 +19,7 @@ from ..operators.ranges import as_of_join
 from ..operators.upsert import new_rows, upsert_versions
 from ..plans import dimensions, facts, reports
 from ..sources.topics import good_rows, parse_rows, to_json_rows
+from ..sources.versions import merge_versions, read_versions
 from . import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,6 +265,21 @@ def upsert_dim(spark, sf_dir):
     return plain(upsert_versions(first, scd2.as_changelog(_d_orders(spark, sf_dir)), "orderSk"))
 
 
+def dim_orders_merged(spark, sf_dir, batches: int = 20):
+    """The changelog of orders merged into a stored table batch by batch, in the order of time."""
+    folder = scratch_dir(spark, "dim-orders")
+    log = scd2.as_changelog(_d_orders(spark, sf_dir))
+    told = F.when(F.col("validTo") == END_OF_TIME, F.col("validFrom")).otherwise(F.col("validTo"))
+    low, high = feeds.landed(spark, sf_dir, "orders").agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    number = F.floor((told - low) * batches / (high - low + 1))
+    log.withColumn("number", number).write.partitionBy("number").parquet(f"{folder}/log")
+    written = spark.read.parquet(f"{folder}/log")
+    for n in range(batches):
+        merge_versions(written.where(F.col("number") == n).select(*log.columns), f"{folder}/table",
+                       "orderSk", n, buckets=8, compact_from=8)
+    return plain(read_versions(spark, f"{folder}/table", log.schema, "orderSk"))
+
+
 def insert_ignore_fact(spark, sf_dir):
     """Items delivered twice, on top of those already stored."""
     key = surrogate_key("order_item", F.col("order_item_id"), F.col("book_id"), F.col("ts_ms"))
@@ -330,6 +347,7 @@ def batch_queries() -> dict[str, Query]:
         dim_orders, dim_customers, dim_books, dim_carrier_services, books_authors_joined,
         services_carriers_joined, shipment_events_joined, shipment_events_latest, pit_orders,
         pit_orders_inclusive, pit_orders_ranges, fact_order_items, fact_shipment_events, unmatched_items, upsert_dim,
+        dim_orders_merged,
         insert_ignore_fact, corrupt_quarantine, landing_rejected, delivery_time_by_service, orders_presentation,
         dq_constraints, status_transitions, dim_topic_round_trip, warehouse_carrier_services,
     ]

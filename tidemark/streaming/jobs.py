@@ -16,7 +16,7 @@ from ..catalog import DIMENSIONS, FACTS, SOURCES
 from ..config import Settings
 from ..functions.cdc import cut_rows, landed_rows, parse_changes, rejected_rows
 from ..plans import dimensions, facts
-from ..sources.sinks import append_batch, merge_versions, read_versions
+from ..sources.sinks import append_batch
 from ..sources.topics import (
     read_changes,
     read_dimension,
@@ -24,6 +24,7 @@ from ..sources.topics import (
     read_rows,
     to_json_rows,
 )
+from ..sources.versions import merge_versions, read_versions
 from . import operators as streams
 
 
