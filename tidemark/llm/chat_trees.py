@@ -1,10 +1,11 @@
 """Conversations from reply trees, in DataFrame functions only.
 
 Messages name the message they answer. Ancestors are found by iterative self-joins that
-double their reach: from "parent" to "ancestor 2, 4, 8, ... steps up". A branch is the path
-from a root to a leaf; its score is the mean score of its messages. The best branches of
-each tree are chosen, their messages enumerated through the same tables of ancestors, and
-every chosen branch is written as one conversation.
+double their reach: from "parent" to "ancestor 2, 4, 8, ... steps up", with the sum of the scores
+on the way. A branch is the path from a root to a leaf; its score is the mean score of its
+messages, found in as many joins as there are tables, one row for a leaf. The best branches of
+each tree are chosen by that, and only the chosen ones' messages are enumerated, through the same
+tables; every chosen branch is written as one conversation.
 
 The written form marks turns with control strings and escapes these inside roles and texts,
 so that nobody can forge a turn:
@@ -53,26 +54,50 @@ def unescape_role(role: Column) -> Column:
 
 
 def ancestor_tables(nodes: DataFrame) -> list[DataFrame]:
-    """``(node, up)`` for ancestors 1, 2, 4, ... steps up, as long as any node has one.
+    """``(node, up, passed)`` for ancestors 1, 2, 4, ... steps up, as long as any node has one.
+
+    ``nodes`` has ``node, parent, score``; ``passed`` is the sum of the scores from the node up
+    to, but without, the ancestor.
 
     A message whose parent is itself or part of a cycle would have ancestors for ever; the
     tables stop once their reach exceeds the number of messages.
     """
-    hops = [checkpointed(nodes.where("parent IS NOT NULL").select("node", F.col("parent").alias("up")))]
+    hops = [checkpointed(nodes.where("parent IS NOT NULL").select(
+        "node", F.col("parent").alias("up"), F.col("score").alias("passed")))]
     if hops[0].isEmpty():
         return []
     total = nodes.count()
     while 2 ** len(hops) < total and len(hops) < MOST_DOUBLINGS:
-        above = hops[-1].select(F.col("node").alias("up"), F.col("up").alias("top"))
-        wider = checkpointed(hops[-1].join(above, "up").select("node", F.col("top").alias("up")))
+        above = hops[-1].select(F.col("node").alias("up"), F.col("up").alias("top"),
+                                F.col("passed").alias("beyond"))
+        wider = checkpointed(hops[-1].join(above, "up").select(
+            "node", F.col("top").alias("up"), (F.col("passed") + F.col("beyond")).alias("passed")))
         if wider.isEmpty():
             break
         hops.append(wider)
     return hops
 
 
+def branch_scores(leaves: DataFrame, hops: list[DataFrame], linked: DataFrame) -> DataFrame:
+    """``(leaf, root, depth, mean)`` for every leaf that has a root; one row a leaf.
+
+    The longest hops come first; as every hop is taken once at most, all together lead to the root.
+    """
+    at = leaves.select(F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("depth"),
+                       F.lit(0.0).alias("total"))
+    for k in range(len(hops) - 1, -1, -1):
+        gone = F.col("up").isNotNull()
+        at = at.join(hops[k], "node", "left").select(
+            "leaf", F.coalesce("up", "node").alias("node"),
+            F.when(gone, F.col("depth") + 2 ** k).otherwise(F.col("depth")).alias("depth"),
+            F.when(gone, F.col("total") + F.col("passed")).otherwise(F.col("total")).alias("total"))
+    mean = (F.col("total") + F.col("score")) / (F.col("depth") + 1)
+    return at.join(linked.where("parent IS NULL"), "node").select(
+        "leaf", F.col("node").alias("root"), "depth", mean.alias("mean"))
+
+
 def branch_paths(leaves: DataFrame, hops: list[DataFrame]) -> DataFrame:
-    """``(leaf, node, above)`` for every message on the path from a leaf to its root.
+    """``(leaf, node, above)`` for every message on the path from one of ``leaves`` to its root.
 
     ``above`` is the number of steps up from the leaf. Every number of steps has one way to
     be written in powers of two, so each message of a path comes once.
@@ -101,13 +126,8 @@ def best_branches(messages: DataFrame, *, most: int = 1) -> DataFrame:
     linked = checkpointed(linked)
     leaves = linked.join(linked.select(F.col("parent").alias("node")).where("node IS NOT NULL")
                          .distinct(), "node", "left_anti")
-    hops = ancestor_tables(linked.select("node", "parent"))
-    paths = branch_paths(leaves, hops)
-    scored = paths.join(linked, "node")
-    # One row a branch; the root is the message without a parent.
-    branches = scored.groupBy("leaf").agg(
-        F.avg("score").alias("mean"), F.max("above").alias("depth"),
-        F.max(F.when(F.col("parent").isNull(), F.col("node"))).alias("root")).where("root IS NOT NULL")
+    hops = ancestor_tables(linked)
+    branches = branch_scores(leaves, hops, linked)
     better = F.struct((-F.col("mean")).alias("m"), (-F.col("depth")).alias("d"), F.col("leaf"))
     if most == 1:
         chosen = branches.groupBy("root").agg(F.min(F.struct(better.alias("b"), F.struct(
@@ -120,6 +140,8 @@ def best_branches(messages: DataFrame, *, most: int = 1) -> DataFrame:
         chosen = (branches.withColumn("part", part).withColumn("r", F.row_number().over(near))
                   .where(F.col("r") <= most).withColumn("rank", F.row_number().over(whole))
                   .where(F.col("rank") <= most).select("leaf", "depth", "rank"))
+    chosen = checkpointed(chosen)
+    paths = branch_paths(chosen.select(F.col("leaf").alias("node")), hops)
     turns = paths.join(chosen, "leaf").select(
         F.col("leaf").alias("branch"), "rank", (F.col("depth") - F.col("above")).alias("turn"), "node")
     return turns.join(messages, "node")
