@@ -1,10 +1,12 @@
 """Merges, quality rules, and the pipelines from messages to facts."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.bindings import feeds
-from tidemark.catalog import DIMENSIONS, FACTS, SOURCES
+from tidemark.catalog import DIMENSIONS, FACTS, SOURCES, landing_schema
 from tidemark.config import END_OF_TIME as END
 from tidemark.config import Settings, scratch_dir
 from tidemark.functions.cdc import to_message
@@ -13,9 +15,9 @@ from tidemark.operators.scd2 import as_changelog, consolidate, consolidate_in_wi
 from tidemark.operators.upsert import new_rows, upsert_versions
 from tidemark.plans import dimensions, facts, rebuild
 from tidemark.plans.dimensions import to_warehouse
-from tidemark.sources.sinks import append_new
-from tidemark.sources.versions import compact, manifest, merge_versions, read_versions, vacuum
+from tidemark.sources.sinks import append_new, exists
 from tidemark.sources.topics import read_landing, read_rows
+from tidemark.sources.versions import compact, manifest, merge_versions, read_versions, vacuum
 from tidemark.streaming import jobs
 from tidemark.streaming.operators import stream_changelog
 
@@ -306,6 +308,47 @@ def test_ttl_needs_processing_time(spark, sf_dir):
                          settings=Settings(state_ttl_ms=30_000))
 
 
+def test_dimension_job_on_processing_time(spark, tmp_path):
+    """Changes are put in order within the buffer; a key is forgotten after its time to live."""
+    settings = Settings(environment=f"p{tmp_path.name}", root=str(tmp_path), buffer_ms=1500,
+                        state_ttl_ms=30_000)
+    with pytest.raises(ValueError):
+        jobs.start_dimension(spark, "orders", settings, processing_time=True)
+    topic = settings.dataset(DIMENSIONS["orders"].topic)
+    landing = settings.dataset(SOURCES["orders"].landing)
+    schema = landing_schema("orders")
+
+    def land(*changes):
+        values = [{"order_id": 1, "customer_id": 2, "op": op, "ts_ms": ts, "status": f"s{ts}"}
+                  for op, ts in changes]
+        rows = [tuple(v.get(f.name) for f in schema) for v in values]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+
+    def written(folder, count):
+        for _ in range(60):
+            if exists(spark, folder):
+                rows = spark.read.schema(DIMENSIONS["orders"].schema).option(
+                    "recursiveFileLookup", True).parquet(folder).collect()
+                if len(rows) >= count:
+                    return sorted((r.status, r.validFrom, r.validTo) for r in rows)
+            time.sleep(1)
+        raise AssertionError(f"fewer than {count} rows in {folder}")
+
+    land(("u", 20), ("c", 10))
+    query = jobs.start_dimension(spark, "orders", settings, every="1 second", processing_time=True)
+    try:
+        first = [("s10", 10, 19), ("s10", 10, END), ("s20", 20, END)]
+        assert written(topic, 3) == first
+        land(("u", 15))
+        assert [r[:2] for r in written(f"{topic}.late", 1)] == [("s15", 15)]
+        time.sleep(32)
+        land(("u", 30))
+        # The version that began at 20 is forgotten, so nothing closes it.
+        assert written(topic, 4) == [*first, ("s30", 30, END)]
+    finally:
+        query.stop()
+
+
 def test_current_and_changelog_agree(spark, sf_dir):
     versions = dimensions.d_orders(feeds.landed(spark, sf_dir, "orders"))
     log = as_changelog(versions)

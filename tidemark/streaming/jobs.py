@@ -107,13 +107,15 @@ def _feed(spark: SparkSession, name: str, settings: Settings) -> DataFrame:
 
 
 def dimension_changelog(spark: SparkSession, name: str, settings: Settings, *,
-                        ending: str | None = None, with_late: bool = False) -> DataFrame:
+                        ending: str | None = None, with_late: bool = False,
+                        processing_time: bool = False) -> DataFrame:
     """Open and closing rows of a dimension as a stream, with late changes on request."""
     dimension = DIMENSIONS[name]
     key = dimensions.ATTRIBUTES[name][dimension.key]
     log = streams.stream_changelog(
         _feed(spark, name, settings), key, dimensions.attribute_columns(name),
-        sk=dimension.sk, entity=dimension.table, settings=settings, ending=ending, with_late=with_late)
+        sk=dimension.sk, entity=dimension.table, settings=settings, ending=ending, with_late=with_late,
+        event_time_mode=not processing_time)
     return log.select(*dimension.schema.fieldNames(), *(["late"] if with_late else []))
 
 
@@ -127,18 +129,25 @@ def _ended(spark: SparkSession, start: Callable[[], StreamingQuery], ending: str
 
 def start_dimension(spark: SparkSession, name: str, settings: Settings, *,
                     every: str | None = None, bounded: bool = False,
-                    sink_servers: str | None = None) -> StreamingQuery:
+                    sink_servers: str | None = None, processing_time: bool = False) -> StreamingQuery:
     """The changelog topic of a dimension, and its changes that came too late (``.late``).
 
-    ``bounded`` replays a finished input.
+    ``bounded`` replays a finished input. With ``processing_time`` changes are held and put in
+    order for ``settings.buffer_ms`` by the clock, and a key's current version is forgotten
+    ``settings.state_ttl_ms`` after its last change, if that is set. Such a stream has to go on
+    running for its timers to come, so it needs ``every`` and cannot be ``bounded``.
     """
+    if processing_time and (every is None or bounded):
+        raise ValueError("processing_time needs every, and no bounded input")
     streams.use_state_store(spark)
     topic = DIMENSIONS[name].topic
     ending = f"{settings.dataset(topic)}.end" if bounded else None
     if sink_servers is not None:
-        log = dimension_changelog(spark, name, settings, ending=ending)
+        log = dimension_changelog(spark, name, settings, ending=ending,
+                                  processing_time=processing_time)
         return _ended(spark, lambda: _start(log, topic, settings, every, sink_servers), ending)
-    log = dimension_changelog(spark, name, settings, ending=ending, with_late=True)
+    log = dimension_changelog(spark, name, settings, ending=ending, with_late=True,
+                              processing_time=processing_time)
 
     def write(rows: DataFrame, number: int) -> None:
         rows.persist()
