@@ -113,6 +113,17 @@ def test_version_table_commits(spark, tmp_path):
     assert rows(read_versions(spark, path, schema, "sk")) == sorted(expected.values())
 
 
+def test_version_table_keeps_every_column(spark, tmp_path):
+    """Columns that are named like parts of the table's layout come back as they were."""
+    schema = "sk STRING, state STRING, bucket INT, number INT, validFrom BIGINT, validTo BIGINT"
+    data = [("a", "Ohio", 7, 1, 1, 5), ("b", None, None, 2, 1, END)]
+    path, held = str(tmp_path / "dim"), spark.createDataFrame(data, schema)
+    merge_versions(held, path, "sk")
+    merge_versions(held, path, "sk")
+    compact(spark, path, held.schema, "sk")
+    assert read_versions(spark, path, held.schema, "sk").orderBy("sk").collect() == held.collect()
+
+
 def test_manifest_has_one_writer(spark, tmp_path, monkeypatch):
     from tidemark.sources import versions
     path = str(tmp_path / "dim")

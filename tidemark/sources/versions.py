@@ -6,8 +6,8 @@ surrogate keys, the one commit that holds the bucket's open versions. A merge re
 open versions of the buckets that its changes touch, and adds the versions it closed; all other
 files are taken over by name.
 
-    commits/<id>/state=closed/bucket=<b>/      manifests/<number>
-    commits/<id>/state=open/bucket=<b>/
+    commits/<id>/version_end=closed/key_bucket=<b>/      manifests/<number>
+    commits/<id>/version_end=open/key_bucket=<b>/
 
 A manifest is written beside and renamed into place, so readers see a whole one or none, and
 a merge that dies leaves only a commit that nothing names. Files are deleted by
@@ -93,22 +93,23 @@ def _bucket(sk: str, buckets: int) -> Column:
 
 def _write(rows: DataFrame, path: str, sk: str, buckets: int) -> str:
     """Write a commit. Rows are gathered by bucket first, so that not every task writes to each;
-    adaptive execution splits large buckets and joins small ones."""
+    adaptive execution splits large buckets and joins small ones. The names of the folders'
+    columns are none that a dimension has."""
     name = uuid.uuid4().hex
     state = F.when(F.col("validTo") == END_OF_TIME, "open").otherwise("closed")
-    (rows.withColumns({"state": state, "bucket": _bucket(sk, buckets)})
-     .hint("rebalance", "state", "bucket")
-     .write.partitionBy("state", "bucket").parquet(f"{path}/commits/{name}"))
+    (rows.withColumns({"version_end": state, "key_bucket": _bucket(sk, buckets)})
+     .hint("rebalance", "version_end", "key_bucket")
+     .write.partitionBy("version_end", "key_bucket").parquet(f"{path}/commits/{name}"))
     return name
 
 
 def _written(spark: SparkSession, path: str, commit: str, state: str) -> list[str]:
     """The buckets that a commit has rows of."""
-    files, at = hadoop_path(spark, f"{path}/commits/{commit}/state={state}")
+    files, at = hadoop_path(spark, f"{path}/commits/{commit}/version_end={state}")
     if not files.exists(at):
         return []
     names = [s.getPath().getName() for s in files.listStatus(at)]
-    return [n.removeprefix("bucket=") for n in names if n.startswith("bucket=")]
+    return [n.removeprefix("key_bucket=") for n in names if n.startswith("key_bucket=")]
 
 
 def _read(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
@@ -119,11 +120,11 @@ def _read(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> Da
 
 
 def _open_paths(path: str, at: Manifest, buckets: Sequence[str]) -> list[str]:
-    return [f"{path}/commits/{at.opened[b]}/state=open/bucket={b}" for b in buckets if b in at.opened]
+    return [f"{path}/commits/{at.opened[b]}/version_end=open/key_bucket={b}" for b in buckets if b in at.opened]
 
 
 def _closed_paths(path: str, commits: Sequence[str]) -> list[str]:
-    return [f"{path}/commits/{c}/state=closed" for c in commits]
+    return [f"{path}/commits/{c}/version_end=closed" for c in commits]
 
 
 def read_versions(spark: SparkSession, path: str, schema: T.StructType, sk: str,
@@ -176,7 +177,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, sk: str) -> No
     at = manifest(spark, path)
     joined, size = [], 0
     for commit in reversed(at.closed):
-        files, place = hadoop_path(spark, f"{path}/commits/{commit}/state=closed")
+        files, place = hadoop_path(spark, f"{path}/commits/{commit}/version_end=closed")
         own = files.getContentSummary(place).getLength()
         if len(joined) > 1 and own > 2 * size:
             break
