@@ -95,7 +95,8 @@ def _joined_feed(spark: SparkSession, name: str, settings: Settings) -> DataFram
     }[name]
     return streams.stream_latest_state_join(
         read_landing(spark, child, settings, streaming=True),
-        read_landing(spark, parent, settings, streaming=True), on, key, parent_columns=columns)
+        read_landing(spark, parent, settings, streaming=True), on, key, parent_columns=columns,
+        child_parts=streams.MANY_CHILDREN)
 
 
 def _feed(spark: SparkSession, name: str, settings: Settings) -> DataFrame:
