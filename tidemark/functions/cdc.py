@@ -79,6 +79,23 @@ def _written(field: Field, kind: str = "string") -> Column:
         _at("payload.op") == "d", _at(f"payload.before.{field.name}", kind)))
 
 
+def _present(field: Field) -> Column:
+    """Whether the message holds a value for a field, readable or not."""
+
+    def held(path: str) -> Column:
+        return F.when(F.col("text").isNull(), F.col(path).isNotNull()).otherwise(
+            F.col(f"text.{path}").isNotNull())
+
+    deleted = F.coalesce(_at("payload.op") == "d", F.lit(False))
+    return held(f"payload.after.{field.name}") | (deleted & held(f"payload.before.{field.name}"))
+
+
+def _once(rows: DataFrame, columns: list[Column]) -> DataFrame:
+    """``columns`` and ``_raw``, behind a generator that the optimizer moves no filter through:
+    a filter would copy all the expressions that it looks at, and work them out twice."""
+    return rows.select(F.inline(F.array(F.struct(*columns))), "_raw")
+
+
 def _raw(field: Field, decode_decimals: bool) -> Column:
     kind = {"timestamp": "bigint", "date": "int", "decimal": "string"}.get(
         field.kind, LANDED_TYPES[field.kind])
@@ -123,10 +140,10 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
                    _parsed(F.col("_raw"), envelope_schema(table, as_text=True)))
     opened = opened.select("_raw", "payload", F.explode(F.array(again)).alias("text"))
     coded = [f for f in source.fields if f.kind in (*_NUMBERS, "decimal")]
-    rows = opened.select(
+    rows = _once(opened, [
         *[_raw(f, decode_decimals) for f in source.fields],
-        *[_written(f).isNotNull().alias(f"_has_{f.name}") for f in coded],
-        *metadata_columns(source.flavor, cut_texts), F.col(f"text.{CORRUPT}").alias(CORRUPT), "_raw")
+        *[_present(f).alias(f"_has_{f.name}") for f in coded],
+        *metadata_columns(source.flavor, cut_texts), F.col(f"text.{CORRUPT}").alias(CORRUPT)])
     required = [f.name for f in source.fields if f.required]
     absent = F.concat_ws(", ", *[F.when(F.col(n).isNull(), n) for n in required])
     error = (
@@ -142,8 +159,8 @@ def parse_changes(messages: DataFrame, table: str, *, value: str = "value",
     lost = F.concat_ws(", ", *[F.when(F.col(f"_has_{f.name}") & F.col(f.name).isNull(), f.name)
                                for f in coded])
     unreadable = F.when(lost != "", F.concat(F.lit("unreadable "), lost))
-    return landed.select(*[f.name for f in source.fields], *names,
-                         F.coalesce("_error", unreadable).alias("_error"), "_raw")
+    return _once(landed, [*[F.col(n) for n in (*[f.name for f in source.fields], *names)],
+                          F.coalesce("_error", unreadable).alias("_error")])
 
 
 def landed_rows(parsed: DataFrame) -> DataFrame:
