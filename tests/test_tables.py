@@ -394,3 +394,53 @@ def test_a_cluster_has_to_name_its_shared_folder():
         scratch_dir(cluster, "x")
     named["spark.checkpoint.dir"] = "hdfs://shared"
     assert scratch_dir(cluster, "x").startswith("hdfs://shared/x-")
+
+
+def test_merges_rewrite_nothing_that_is_held(spark, tmp_path):
+    """A merge writes its own changes alone, however many versions are open."""
+    path = str(tmp_path / "dim")
+
+    def df(*data):
+        return spark.createDataFrame(list(data), DIM)
+
+    held = [(f"{i}", "v", 1, END) for i in range(500)]
+    merge_versions(df(*held), path, "sk", buckets=1)
+    merge_versions(df(("7", "late", 1, 9), ("x", "v", 9, END)), path, "sk", compact_from=None)
+    first, second = manifest(spark, path).parts
+    assert spark.read.parquet(f"{path}/commits/{second}").count() == 2
+    expected = [r for r in held if r[0] != "7"] + [("7", "v", 1, 9), ("x", "v", 9, END)]
+    schema = df(*held).schema
+    assert rows(read_versions(spark, path, schema, "sk")) == sorted(expected)
+    # Compaction leaves out the open row of the version that ended.
+    compact(spark, path, schema, "sk")
+    part, = manifest(spark, path).parts
+    assert spark.read.parquet(f"{path}/commits/{part}").count() == 501
+    merge_versions(df(("7", "again", 1, END)), path, "sk")
+    assert rows(read_versions(spark, path, schema, "sk")) == sorted(expected)
+
+
+def test_open_versions_alone_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    for n in range(5):
+        merge_versions(spark.createDataFrame([("a", "v", 1, END), (f"{n}", "v", 1, END)], DIM), path, "sk",
+                       buckets=1, compact_from=3)
+    assert len(manifest(spark, path).parts) <= 3
+    held = read_versions(spark, path, spark.createDataFrame([], DIM).schema, "sk")
+    assert rows(held) == [(k, "v", 1, END) for k in ("0", "1", "2", "3", "4", "a")]
+
+
+def test_older_manifests_are_read(spark, tmp_path):
+    import json
+
+    path, one = str(tmp_path / "dim"), spark.createDataFrame([("a", "n", 1, END), ("b", "n", 1, 5)], DIM)
+    state = F.when(F.col("validTo") == END, "open").otherwise("closed")
+    one.withColumns({"version_end": state, "key_bucket": F.lit(0)}).write.partitionBy(
+        "version_end", "key_bucket").parquet(f"{path}/commits/old")
+    (tmp_path / "dim" / "manifests").mkdir()
+    (tmp_path / "dim" / "manifests" / "0").write_text(json.dumps(
+        {"number": 0, "buckets": 1, "opened": {"0": "old"}, "closed": ["old"], "merged": {"batch": 0}}))
+    merge_versions(spark.createDataFrame([("a", "n", 1, 9)], DIM), path, "sk")
+    expected = [("a", "n", 1, 9), ("b", "n", 1, 5)]
+    assert rows(read_versions(spark, path, one.schema, "sk")) == expected
+    compact(spark, path, one.schema, "sk")
+    assert rows(read_versions(spark, path, one.schema, "sk")) == expected

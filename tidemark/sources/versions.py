@@ -1,10 +1,9 @@
 """Dimension tables that are merged into batch by batch.
 
-A table is a folder of immutable commits and a list of manifests. Each manifest names the
-commits that make up the table: the closed versions of every merge, and, for each bucket of
-surrogate keys, the one commit that holds the bucket's open versions. A merge rewrites the
-open versions of the buckets that its changes touch, and adds the versions it closed; all other
-files are taken over by name.
+A table is a folder of immutable commits and a list of manifests. A merge adds one commit, with the
+versions that its changes leave open and those that they close, and reads nothing that is held:
+what a version was first merged with counts, and its earliest end, which readers and
+:func:`compact` find by its surrogate key. Each manifest names the commits that make up the table.
 
     commits/<id>/version_end=closed/key_bucket=<b>/      manifests/<number>
     commits/<id>/version_end=open/key_bucket=<b>/
@@ -22,16 +21,17 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import END_OF_TIME
-from ..operators.scd2 import consolidate
-from ..operators.upsert import upsert_versions
+from ..functions.columns import packed_key, unpacked_key
 from .sinks import exists, hadoop_path, stream_id
 
 BUCKETS = 64
+# The merge that a stored row came with.
+_MERGE = "__merge"
 
 
 @dataclass(frozen=True)
@@ -39,17 +39,20 @@ class Manifest:
     """What a table consists of after a number of merges.
 
     ``merged`` holds the last batch of each stream. A new checkpoint gives a stream a new id,
-    so its numbers, which begin anew, are not taken for repetitions.
+    so its numbers, which begin anew, are not taken for repetitions. ``parts`` are all commits,
+    oldest first; ``opened`` has those that a bucket's open versions follow from, and ``closed`` those
+    with closed versions.
     """
 
     number: int = -1
     buckets: int = BUCKETS
-    opened: dict[str, str] = field(default_factory=dict)
+    opened: dict[str, list[str]] = field(default_factory=dict)
     closed: tuple[str, ...] = ()
     merged: dict[str, int] = field(default_factory=dict)
+    parts: tuple[str, ...] = ()
 
     def commits(self) -> set[str]:
-        return {*self.opened.values(), *self.closed}
+        return set(self.parts)
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -72,7 +75,10 @@ def manifest(spark: SparkSession, path: str, number: int | None = None) -> Manif
     finally:
         stream.close()
     read = json.loads(text)
-    return Manifest(**{**read, "closed": tuple(read["closed"])})
+    # Older manifests name one commit for each bucket.
+    opened = {b: [c] if isinstance(c, str) else c for b, c in read["opened"].items()}
+    parts = read.get("parts") or dict.fromkeys([*read["closed"], *(c for held in opened.values() for c in held)])
+    return Manifest(**{**read, "opened": opened, "closed": tuple(read["closed"]), "parts": tuple(parts)})
 
 
 def _commit(spark: SparkSession, path: str, new: Manifest) -> None:
@@ -87,18 +93,27 @@ def _commit(spark: SparkSession, path: str, new: Manifest) -> None:
         raise RuntimeError(f"another writer has made manifest {new.number} of {path}")
 
 
-def _bucket(sk: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(sk), F.lit(buckets)).cast("int")
+def _folded(rows: DataFrame, sk: str, within: Sequence[str] = ()) -> DataFrame:
+    """One row per version: as it was first merged, with its earliest end."""
+    rest = [c for c in rows.columns if c not in (sk, _MERGE, "validTo", *within)]
+    first = F.struct(F.coalesce(_MERGE, F.lit(-1)).alias(_MERGE), "validTo", *rest)
+    kept = rows.groupBy(*within, sk).agg(F.min(first).alias("__first"), F.min("validTo").alias("validTo"))
+    return kept.select(*within, sk, f"__first.{_MERGE}", *[F.col(f"__first.{c}").alias(c) for c in rest], "validTo")
 
 
 def _write(rows: DataFrame, path: str, sk: str, buckets: int) -> str:
-    """Write a commit. Rows are gathered by bucket first, so that not every task writes to each;
-    adaptive execution splits large buckets and joins small ones. The names of the folders'
-    columns are none that a dimension has."""
+    """Fold rows into a commit with one shuffle: by bucket and, as a bucket may be large, slice of it,
+    so that not every task writes to each; adaptive execution joins small ones. The names
+    of the folders' columns are none that a dimension has."""
     name = uuid.uuid4().hex
+    slices = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    hashed = F.xxhash64(sk)
+    place = {"key_bucket": F.pmod(hashed, F.lit(buckets)).cast("int"),
+             "__slice": F.pmod(F.shiftright(hashed, 32), F.lit(slices)).cast("int")}
+    placed = rows.withColumns(place).withColumn(sk, packed_key(sk)).repartition(*place)
     state = F.when(F.col("validTo") == END_OF_TIME, "open").otherwise("closed")
-    (rows.withColumns({"version_end": state, "key_bucket": _bucket(sk, buckets)})
-     .hint("rebalance", "version_end", "key_bucket")
+    (_folded(placed, sk, list(place)).drop("__slice")
+     .withColumns({sk: unpacked_key(sk), "version_end": state})
      .write.partitionBy("version_end", "key_bucket").parquet(f"{path}/commits/{name}"))
     return name
 
@@ -119,12 +134,13 @@ def _read(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> Da
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
 
 
-def _open_paths(path: str, at: Manifest, buckets: Sequence[str]) -> list[str]:
-    return [f"{path}/commits/{at.opened[b]}/version_end=open/key_bucket={b}" for b in buckets if b in at.opened]
-
-
-def _closed_paths(path: str, commits: Sequence[str]) -> list[str]:
-    return [f"{path}/commits/{c}/version_end=closed" for c in commits]
+def _rows(spark: SparkSession, path: str, schema: T.StructType, at: Manifest,
+          commits: Sequence[str]) -> DataFrame:
+    """The stored rows of the commits, with their merge's number."""
+    paths = [f"{path}/commits/{c}/version_end=open/key_bucket={b}" for c in commits
+             for b in _written(spark, path, c, "open") if c in at.opened.get(b, ())]
+    paths += [f"{path}/commits/{c}/version_end=closed" for c in commits if c in at.closed]
+    return _read(spark, T.StructType([*schema, T.StructField(_MERGE, T.LongType())]), paths)
 
 
 def read_versions(spark: SparkSession, path: str, schema: T.StructType, sk: str,
@@ -134,9 +150,8 @@ def read_versions(spark: SparkSession, path: str, schema: T.StructType, sk: str,
     A version that a repeated change has opened again after its end counts as closed.
     """
     at = manifest(spark, path, number)
-    rows = _read(spark, schema, [*_open_paths(path, at, list(at.opened)),
-                                 *_closed_paths(path, at.closed)])
-    return consolidate(rows, sk)
+    rows = _rows(spark, path, schema, at, at.parts).withColumn(sk, packed_key(sk))
+    return _folded(rows, sk).withColumn(sk, unpacked_key(sk)).select(*schema.fieldNames())
 
 
 def merge_versions(changes: DataFrame, path: str, sk: str, number: int | None = None, *,
@@ -145,7 +160,7 @@ def merge_versions(changes: DataFrame, path: str, sk: str, number: int | None =
 
     ``number`` names a micro-batch of the stream that runs; a number that its stream has merged
     is skipped, so a retry changes nothing. ``buckets`` counts for a new table. With
-    ``compact_from`` closed parts or more, small ones are joined.
+    ``compact_from`` parts or more, small ones are joined.
     """
     spark = changes.sparkSession
     at = manifest(spark, path)
@@ -153,26 +168,29 @@ def merge_versions(changes: DataFrame, path: str, sk: str, number: int | None =
     if number is not None and number <= at.merged.get(stream, -1):
         return
     at = replace(at, buckets=at.buckets if at.number >= 0 else buckets)
-    touched = [str(r[0]) for r in changes.select(_bucket(sk, at.buckets)).distinct().collect()]
     merged = {**at.merged, stream: at.merged.get(stream, -1) + 1 if number is None else number}
     after = replace(at, number=at.number + 1, merged=merged)
-    if touched:
-        held = _read(spark, changes.schema, _open_paths(path, at, touched))
-        name = _write(upsert_versions(held, changes, sk), path, sk, at.buckets)
-        opened = {b: c for b, c in at.opened.items() if b not in touched}
-        opened.update({b: name for b in _written(spark, path, name, "open")})
-        closed = at.closed + ((name,) if _written(spark, path, name, "closed") else ())
-        after = replace(after, opened=opened, closed=closed)
+    name = _write(changes.withColumn(_MERGE, F.lit(after.number).cast("bigint")), path, sk, at.buckets)
+    after = _with_part(spark, path, after, name)
     _commit(spark, path, after)
-    if compact_from is not None and len(after.closed) >= compact_from:
+    if compact_from is not None and max(map(len, (after.closed, *after.opened.values())), default=0) >= compact_from:
         compact(spark, path, changes.schema, sk)
 
 
+def _with_part(spark: SparkSession, path: str, at: Manifest, name: str) -> Manifest:
+    ended = _written(spark, path, name, "closed")
+    touched = {*_written(spark, path, name, "open"), *ended}
+    if not touched:
+        return at
+    opened = {**at.opened, **{b: [*at.opened.get(b, ()), name] for b in touched}}
+    return replace(at, opened=opened, closed=(*at.closed, *([name] if ended else ())), parts=(*at.parts, name))
+
+
 def compact(spark: SparkSession, path: str, schema: T.StructType, sk: str) -> None:
-    """Join the small closed parts, newest first, into one.
+    """Join the newest commits into one, and leave out open versions that ended among them.
 
-    A part joins while it is at most twice the size of all newer ones together, so a
-    row is rewritten as often as the table doubles. Older manifests stay readable.
+    A commit with closed versions joins while it is at most twice the size of all newer ones
+    together, so a row is rewritten as often as the table doubles. Older manifests stay readable.
     """
     at = manifest(spark, path)
     joined, size = [], 0
@@ -183,12 +201,16 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, sk: str) -> No
             break
         joined.append(commit)
         size += own
-    if len(joined) < 2:
+    # Where nearly nothing has ended, all of it.
+    begin = at.parts.index(joined[-1]) if 1 < len(joined) < len(at.closed) else 0
+    kept, newest = at.parts[:begin], at.parts[begin:]
+    if len(newest) < 2:
         return
-    rows = consolidate(_read(spark, schema, _closed_paths(path, joined)), sk)
-    name = _write(rows, path, sk, at.buckets)
-    kept = at.closed[:len(at.closed) - len(joined)]
-    _commit(spark, path, replace(at, number=at.number + 1, closed=(*kept, name)))
+    name = _write(_rows(spark, path, schema, at, newest), path, sk, at.buckets)
+    held = {b: [c for c in commits if c in kept] for b, commits in at.opened.items()}
+    before = replace(at, number=at.number + 1, parts=kept, closed=tuple(c for c in at.closed if c in kept),
+                     opened={b: commits for b, commits in held.items() if commits})
+    _commit(spark, path, _with_part(spark, path, before, name))
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
