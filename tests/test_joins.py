@@ -165,3 +165,84 @@ def test_hot_key_is_split(spark):
     got = join_state(rows, state, "fk", spread_by="id", rows_per_part=300)
     assert got.columns == ["id", "fk", "ts_ms", "twice"]
     assert got.count() == 4000 and got.where("twice <> fk * 2").count() == 0
+
+
+def test_short_keys_are_not_cut(spark):
+    from tidemark.operators import joins
+
+    short = spark.range(4000).selectExpr("id AS k", "id AS validFrom")
+    assert not joins._cuts_of_long_keys(short, "k", "validFrom", 4)
+    long = short.unionByName(spark.range(400).selectExpr("-1L AS k", "id AS validFrom"))
+    kept = joins._cuts_of_long_keys(long, "k", "validFrom", 4)
+    assert [r["k"] for r in kept.by_key.select("k").collect()] == [-1]
+
+
+def test_packed_keys_come_back(spark):
+    from tidemark.functions.columns import packed_key, unpacked_key
+
+    keys = [None, "", "x", "0123456789abcde", "0" * 32, "0123456789abcdef" * 2, "0123456789ABCDEF" * 2,
+            "é" * 8, "f" * 32 + "\n", "g" * 32, "a" * 33]
+    held = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i INT, sk STRING")
+    packed = held.withColumn("sk", packed_key("sk"))
+    assert [r[0] for r in packed.orderBy("i").selectExpr("length(sk)").collect()][4:6] == [16, 16]
+    assert [r["sk"] for r in packed.withColumn("sk", unpacked_key("sk")).orderBy("i").collect()] == keys
+
+
+def test_facts_of_large_tables_shuffle_once_for_each_join(spark, sf_dir, monkeypatch):
+    """Hot keys are looked for in the feeds alone, versions are joined as their window left
+    them, and surrogate keys are packed on the way."""
+    from tidemark.bindings import queries
+    from tidemark.operators import joins
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    looked = []
+    salt = joins.salt_hot_keys
+
+    def spy(*args, sample_from=None, **options):
+        looked.append(plan(sample_from))
+        return salt(*args, sample_from=sample_from, **options)
+
+    monkeypatch.setattr(joins, "salt_hot_keys", spy)
+    monkeypatch.setattr(joins, "_is_small", lambda *_: False)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    expected = {tuple(r) for r in queries.fact_order_items(spark, sf_dir).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        del looked[:]
+        fact = queries.fact_order_items(spark, sf_dir)
+        assert len(looked) == 4 and not any("Exchange" in p for p in looked)
+        # Items and the orders' window; the versions of orders go into the join as they are.
+        text = plan(fact)
+        assert text.count("Exchange hashpartitioning(order_id") == 2
+        assert text.count("Exchange hashpartitioning(orderId") == 0
+        assert {tuple(r) for r in fact.collect()} == expected
+        del looked[:]
+        shipped = queries.fact_shipment_events(spark, sf_dir)
+        assert looked and not any("Exchange" in p for p in looked)
+        assert shipped.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_last_state_of_events(spark):
+    from tidemark.plans.facts import live_rows
+
+    changes = spark.createDataFrame(
+        [(1, "a", "c", 5, 1), (1, "b", "u", 5, 2), (1, None, "u", 4, 9), (2, "x", "c", 1, 1),
+         (2, "x", "d", 2, 2), (3, "y", None, 7, None), (None, "z", "c", 1, 1), (4, "z", "c", None, 1)],
+        "id INT, name STRING, op STRING, ts_ms BIGINT, lsn BIGINT")
+    found = sorted(tuple(r) for r in live_rows(changes, "id").collect())
+    assert found == [(1, "b", "u", 4, 2), (3, "y", None, 7, None)]
+
+
+def test_reports_group_by_packed_keys(spark):
+    from tidemark.plans.reports import sales_by
+
+    keys = ["0" * 32, "f" * 32, "other"]
+    facts = spark.createDataFrame([(k, 2, 1.5) for k in [*keys, *keys]], "sk STRING, quantity INT, priceTotal DOUBLE")
+    dimension = spark.createDataFrame([(k, k[0]) for k in keys], "sk STRING, name STRING")
+    report = sales_by(facts, dimension, "sk", ["name"])
+    assert sorted(tuple(r) for r in report.collect()) == [("0", 2, 4, 3.0), ("f", 2, 4, 3.0), ("o", 2, 4, 3.0)]
+    assert "unhex" in report._jdf.queryExecution().optimizedPlan().toString()

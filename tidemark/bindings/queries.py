@@ -234,6 +234,7 @@ def _f_order_items(spark, sf_dir):
         orders_feed=_starts(spark, sf_dir, "orders", "order_id", "orderId"),
         customers_feed=_starts(spark, sf_dir, "customers", "customer_id", "customerId"),
         books_feed=_starts(spark, sf_dir, "books", "book_id", "bookId"),
+        customer_keys=feeds.landed(spark, sf_dir, "orders").select("customer_id", "ts_ms"),
         customer_rows=row_bound(spark, sf_dir, "customer", 2),
         # Each book version meets at most the two versions of its author.
         book_rows=row_bound(spark, sf_dir, "part", 3 * 2))

@@ -60,6 +60,20 @@ def surrogate_key(entity: str, *parts: Column) -> Column:
     return F.md5(F.concat_ws("#", F.lit(entity), *[p.cast("string") for p in parts]))
 
 
+def packed_key(sk: str) -> Column:
+    """A surrogate key as its 16 bytes, for shuffles; a text of another form behind 17 zero bytes."""
+    text = F.col(sk)
+    other = F.concat(F.lit(bytes(17)), text.cast("binary"))
+    return F.when(text.rlike("^[0-9a-f]{32}\\z"), F.unhex(text)).otherwise(other).alias(sk)
+
+
+def unpacked_key(sk: str) -> Column:
+    """Inverse of :func:`packed_key`."""
+    packed = F.col(sk)
+    other = F.substring(packed, 18, (1 << 31) - 1).cast("string")
+    return F.when(F.length(packed) == 16, F.lower(F.hex(packed))).otherwise(other).alias(sk)
+
+
 def acceptance_window_end(ts: Column, window_ms: int) -> Column:
     """End of the tumbling window of ``ts``; floors below the epoch as well."""
     return ts - F.pmod(ts, F.lit(window_ms)) + F.lit(window_ms)

@@ -49,6 +49,24 @@ def _is_small(left: DataFrame, right: DataFrame) -> bool:
     return estimated_bytes(left) * estimated_bytes(right) < SMALL_PRODUCT
 
 
+def _cuts_of_long_keys(starts: DataFrame, key: str, ts: str, rows_per_cut: int) -> Cuts:
+    """Cuts of the keys that have more than ``rows_per_cut`` versions, which short keys do not need.
+
+    Without any, the join is by the key alone and takes versions as their window left them.
+    """
+    cuts = find_cuts(starts, [key], ts, rows_per_cut=rows_per_cut)
+    if not cuts:
+        return NO_CUTS
+    # At most MAX_CUTS keys, whatever the size of the data.
+    counts = starts.join(F.broadcast(cuts.by_key.select(key)), key, "left_semi").groupBy(key).count()
+    long = counts.where(F.col("count") > F.lit(rows_per_cut)).select(key)
+    keys = long.collect()
+    if not keys:
+        return NO_CUTS
+    kept = starts.sparkSession.createDataFrame(keys, long.schema)
+    return Cuts(cuts.by_key.join(F.broadcast(kept), key, "left_semi"))
+
+
 def point_in_time_join(
     facts: DataFrame,
     dimension: DataFrame,
@@ -115,7 +133,7 @@ def _point_in_time_join(
     left = facts
     cuts = NO_CUTS
     if rows_per_cut != VERSIONS_PER_CUT or not _is_small(size_of or facts, starts):
-        cuts = find_cuts(starts, [dim_key], "validFrom", rows_per_cut=rows_per_cut)
+        cuts = _cuts_of_long_keys(starts, dim_key, "validFrom", rows_per_cut)
     if cuts:
         named = Cuts(cuts.by_key.withColumnRenamed(dim_key, fact_key))
         left = with_stretch(left, named, [fact_key], ts).drop("__cuts")
@@ -188,7 +206,7 @@ def latest_state_join(
         *[F.col(c).alias(name) for c, name in parent_columns.items()])
     cuts = NO_CUTS
     if rows_per_cut != VERSIONS_PER_CUT or not _is_small(child, alive):
-        cuts = find_cuts(alive, [on], ts, rows_per_cut=rows_per_cut)
+        cuts = _cuts_of_long_keys(alive.select(on, ts), on, ts, rows_per_cut)
     condition = F.col(on) == F.col("__parent")
     if cuts:
         named = Cuts(cuts.by_key.withColumnRenamed(on, "__parent"))
@@ -206,7 +224,8 @@ def latest_state_join(
         salted = salt_hot_keys(
             children, parents, [on, "__stretch"] if stretched else [on],
             ["__parent", "__parent_stretch"] if stretched else ["__parent"],
-            spread_by=child_key, rows_per_part=rows_per_part, size_of=child)
+            spread_by=child_key, rows_per_part=rows_per_part, size_of=child,
+            sample_from=None if stretched else child)
         children, parents = salted.left, salted.right
         condition = condition if salted.condition is None else condition & salted.condition
     condition &= (F.col("__from") < F.col("__end")) & (F.col(ts) < F.col("__to"))
@@ -217,13 +236,17 @@ def latest_state_join(
 
 
 def join_state(rows: DataFrame, state: DataFrame, on: str, *, spread_by: str,
-               state_rows: int | None = None, rows_per_part: int = ROWS_PER_CUT) -> DataFrame:
-    """Inner join with one state row per key; hot keys of ``rows`` are split."""
+               state_rows: int | None = None, rows_per_part: int = ROWS_PER_CUT,
+               keys_from: DataFrame | None = None) -> DataFrame:
+    """Inner join with one state row per key; hot keys of ``rows`` are split.
+
+    ``keys_from``, with column ``on``, may name a cheaper frame with keys distributed alike.
+    """
     right = state.withColumnRenamed(on, "__key")
     condition = F.col(on) == F.col("__key")
     if not fits_broadcast(state_rows):
         salted = salt_hot_keys(rows, right, [on], ["__key"], spread_by=spread_by,
-                               rows_per_part=rows_per_part)
+                               rows_per_part=rows_per_part, sample_from=keys_from)
         rows, right = salted.left, salted.right
         condition = condition if salted.condition is None else condition & salted.condition
     joined = rows.join(broadcast_within(right, state_rows), condition)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import FACTS
-from ..functions.columns import price_total, surrogate_key
+from ..functions.columns import packed_key, price_total, surrogate_key, unpacked_key
 from ..operators.joins import join_state, latest_state, latest_state_join, point_in_time_join
 from ..operators.scd2 import tie_columns
 
@@ -24,12 +24,15 @@ def live_rows(changes: DataFrame, key: str, *, ts: str = "ts_ms", op: str = "op"
     count once. Changes are combined in the map tasks, so an event with very many of them
     is no burden to one task.
     """
-    order = F.struct(*[F.col(c) for c in (ts, *tie_columns(changes))])
-    row = F.struct(*[F.col(c) for c in changes.columns if c != ts])
-    last = changes.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(
-        F.col(key).alias("__key")).agg(F.max_by(row, order).alias("__row"), F.min(ts).alias(ts))
-    alive = last.where(~F.coalesce(F.col(f"__row.{op}") == "d", F.lit(False)))
-    return alive.select("__row.*", ts).select(*changes.columns)
+    # Every column once, what puts rows in order first: this is shuffled for each event.
+    order = [ts, *tie_columns(changes)]
+    rest = [c for c in changes.columns if c not in (key, *order)]
+    last = changes.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key).agg(
+        F.max(F.struct(F.struct(*order).alias("order"), F.struct(*rest).alias("rest"))).alias("__last"),
+        F.min(ts).alias(ts))
+    alive = last.where(~F.coalesce(F.col(f"__last.rest.{op}") == "d", F.lit(False)))
+    values = {key: F.col(key), ts: F.col(ts), **{c: F.col(f"__last.rest.{c}") for c in rest}}
+    return alive.select(*[values.get(c, F.col(f"__last.order.{c}")).alias(c) for c in changes.columns])
 
 
 def narrow(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,40 +59,46 @@ def f_order_items(
     orders_feed: DataFrame | None = None,
     customers_feed: DataFrame | None = None,
     books_feed: DataFrame | None = None,
+    customer_keys: DataFrame | None = None,
     customer_rows: int | None = None,
     book_rows: int | None = None,
     changes: str = "live",
 ) -> DataFrame:
     """Order items with order, customer and book keys, and the sales measure.
 
-    ``*_feed`` frames hold the dimension's key and ``validFrom`` only; the
+    ``*_feed`` frames hold the dimension's key and ``validFrom`` only; ``customer_keys``, with
+    ``customer_id`` and ``ts_ms``, is a cheaper frame with the customers of orders; the
     ``*_rows`` bounds allow a broadcast. ``disjoint`` asserts that no dimension
     has overlapping versions. ``changes="live"`` gives one fact for each item that was
     not deleted, as it last was and at the time of its creation; ``"all"`` one for each
     change other than a delete.
     """
     needed = ("order_item_id", "order_id", "book_id", "quantity", "price_at_purchase", "discount")
-    rows = event_rows(narrow(items, needed), "order_item_id", changes).select(
-        "order_item_id", "order_id", "book_id", "quantity", "ts_ms",
-        F.col("price_at_purchase").cast("double").alias("priceAtPurchase"),
-        F.col("discount").cast("double").alias("discount"))
+    rows = event_rows(narrow(items, needed), "order_item_id", changes).select(*needed, "ts_ms")
     rows = point_in_time_join(
-        rows, orders.select("orderId", "orderSk", "customerId", "validFrom", "validTo"),
+        rows, orders.select("orderId", packed_key("orderSk"), "customerId", "validFrom", "validTo"),
         ("order_id", "orderId"), "ts_ms", versions_from=orders_feed,
+        keys_from=items.select("order_id", "ts_ms"),
         inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
+    if customer_keys is None:
+        customer_keys = orders.select(F.col("customerId").alias("customer_id"),
+                                      F.col("validFrom").alias("ts_ms"))
     rows = point_in_time_join(
         rows.withColumnRenamed("customerId", "customer_id"),
-        customers.select("customerId", "customerSk", "validFrom", "validTo"),
+        customers.select("customerId", packed_key("customerSk"), "validFrom", "validTo"),
         ("customer_id", "customerId"), "ts_ms", versions_from=customers_feed,
-        keys_from=orders.select(F.col("customerId").alias("customer_id"),
-                                F.col("validFrom").alias("ts_ms")),
+        keys_from=customer_keys,
         dimension_rows=customer_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
     rows = point_in_time_join(
-        rows, books.select("bookId", "bookSk", "validFrom", "validTo"),
+        rows, books.select("bookId", packed_key("bookSk"), "validFrom", "validTo"),
         ("book_id", "bookId"), "ts_ms", versions_from=books_feed,
         keys_from=items.select("book_id", "ts_ms"),
         dimension_rows=book_rows, inclusive_end=inclusive_end, disjoint=disjoint, size_of=items)
-    return order_item_fact(rows)
+    # Exact numbers are smaller than doubles on their way through the joins, and so are packed keys.
+    return order_item_fact(rows.withColumns({
+        **{sk: unpacked_key(sk) for sk in ("orderSk", "customerSk", "bookSk")},
+        "priceAtPurchase": F.col("price_at_purchase").cast("double"),
+        "discount": F.col("discount").cast("double")}))
 
 
 def order_item_fact(rows: DataFrame) -> DataFrame:
@@ -114,7 +123,8 @@ def events_with_shipments(events: DataFrame, shipments: DataFrame, *,
     state = state.select("shipment_id", *SHIPMENT_COLUMNS)
     needed = ("event_id", "shipment_id", "status", "location")
     kept = event_rows(narrow(events, needed), "event_id", changes).select(*needed, "ts_ms")
-    return join_state(kept, state, "shipment_id", spread_by="event_id", state_rows=shipment_rows)
+    return join_state(kept, state, "shipment_id", spread_by="event_id", state_rows=shipment_rows,
+                      keys_from=events.select("shipment_id"))
 
 
 def shipment_event_changes(events: DataFrame, shipments: DataFrame, **options) -> DataFrame:
