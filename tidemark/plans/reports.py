@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import packed_key
+
 
 def sales_by(facts: DataFrame, dimension: DataFrame, sk: str, columns: Sequence[str]) -> DataFrame:
     """Items, units and sales per dimension attribute.
@@ -14,10 +16,11 @@ def sales_by(facts: DataFrame, dimension: DataFrame, sk: str, columns: Sequence[
     Facts are summed per surrogate key before the join, so the join sees one
     row per version and a best seller costs no more than any other key.
     """
+    facts = facts.withColumn(sk, packed_key(sk))
     per_version = facts.groupBy(sk).agg(
         F.count("*").alias("items"), F.sum("quantity").alias("units"),
         F.sum("priceTotal").alias("sales"))
-    return per_version.join(dimension.select(sk, *columns), sk).groupBy(*columns).agg(
+    return per_version.join(dimension.select(packed_key(sk), *columns), sk).groupBy(*columns).agg(
         F.sum("items").alias("items"), F.sum("units").alias("units"),
         F.round(F.sum("sales"), 4).alias("sales"))
 
